@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from tidemark.llm.sharding import op3_external_shuffle
+from tidemark.llm.simhash import op4_pivot_simhash
 
-QUERIES = (op3_external_shuffle,)
+QUERIES = (op3_external_shuffle, op4_pivot_simhash)
 
 
 def queries() -> dict:
