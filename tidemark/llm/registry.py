@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from tidemark.llm.quality_rules import op10_likelihood_ratio
 from tidemark.llm.sharding import op3_external_shuffle
 from tidemark.llm.simhash import op4_pivot_simhash
 
-QUERIES = (op3_external_shuffle, op4_pivot_simhash)
+QUERIES = (op3_external_shuffle, op4_pivot_simhash, op10_likelihood_ratio)
 
 
 def queries() -> dict:
