@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from tidemark.llm.line_dedup import OP5_SQL, op5_perfect_hash_lines
 from tidemark.llm.quality_rules import op10_likelihood_ratio
 from tidemark.llm.sharding import op3_external_shuffle
 from tidemark.llm.simhash import op4_pivot_simhash
 
-QUERIES = (op3_external_shuffle, op4_pivot_simhash, op10_likelihood_ratio)
+QUERIES = (op3_external_shuffle, op4_pivot_simhash, op5_perfect_hash_lines, op10_likelihood_ratio)
 
 
 def queries() -> dict:
@@ -14,4 +15,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_perfect_hash_lines": OP5_SQL}
