@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from tidemark.llm.line_dedup import OP5_SQL, op5_perfect_hash_lines
+from tidemark.llm.mixing import OP8_SQL, op8_poisson_replication
 from tidemark.llm.quality_rules import op10_likelihood_ratio
 from tidemark.llm.sharding import op3_external_shuffle
 from tidemark.llm.simhash import op4_pivot_simhash
 
-QUERIES = (op3_external_shuffle, op4_pivot_simhash, op5_perfect_hash_lines, op10_likelihood_ratio)
+QUERIES = (op3_external_shuffle, op4_pivot_simhash, op5_perfect_hash_lines, op8_poisson_replication, op10_likelihood_ratio)
 
 
 def queries() -> dict:
@@ -15,4 +16,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_perfect_hash_lines": OP5_SQL}
+    return {"op5_perfect_hash_lines": OP5_SQL, "op8_poisson_replication": OP8_SQL}
