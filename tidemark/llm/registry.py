@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from tidemark.llm.bpe import op7_prefix_bpe
 from tidemark.llm.line_dedup import OP5_SQL, op5_perfect_hash_lines
 from tidemark.llm.mixing import OP8_SQL, op8_poisson_replication
 from tidemark.llm.quality_rules import op10_likelihood_ratio
 from tidemark.llm.sharding import op3_external_shuffle
 from tidemark.llm.simhash import op4_pivot_simhash
 
-QUERIES = (op3_external_shuffle, op4_pivot_simhash, op5_perfect_hash_lines, op8_poisson_replication, op10_likelihood_ratio)
+QUERIES = (op3_external_shuffle, op4_pivot_simhash, op5_perfect_hash_lines, op7_prefix_bpe, op8_poisson_replication, op10_likelihood_ratio)
 
 
 def queries() -> dict:
