@@ -55,11 +55,11 @@ def in_block_pairs(lists: DataFrame, keys: list[str], member: str, block: int) -
     hash of the member into blocks of about that size, and every row is sent to each pair that its block is part of, so any two
     rows of a list meet, and no task has to hold more than two blocks. Adds own, lo and hi (int).
     """
-    sizes, _ = written(lists.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
-    n = F.ceil(F.col("n") / F.lit(block)).cast("int")
+    sizes, _ = written(lists.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
+    n = F.ceil(F.col("size") / F.lit(block)).cast("int")
     rows = lists.join(sizes, keys).withColumn("blocks", n).withColumn("own", F.pmod(F.xxhash64(member), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return rows.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("n", "blocks", "other")
+    return rows.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("size", "blocks", "other")
 
 
 def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
