@@ -39,14 +39,16 @@ def remove(spark: SparkSession, *paths: str) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def written(df: DataFrame, name: str, compression: str = "uncompressed") -> tuple[DataFrame, str]:
     """df written to the shared folder and read again: lineage ends here, a lost executor costs nothing, and the size is known.
 
-    Returns the read DataFrame and the path, which the caller removes when nothing reads it any more.
+    Returns the read DataFrame and the path, which the caller removes when nothing reads it any more. Narrow tables go
+    uncompressed: the codecs' buffers outside the heap, several for each of many small files, are freed late. Tables
+    with texts name a codec.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -216,7 +216,7 @@ def drop_common_lines(docs: DataFrame, *, text_col: str = "text", min_docs: int
         final = k == len(rounds) - 1
         out = out.mapInArrow(round_of(shard_list, final), last if final else out.schema)
         if not final:
-            out, p = written(out, "probed")
+            out, p = written(out, "probed", "zstd")
             remove(spark, *spent[:-1])
             spent.append(p)
     return out

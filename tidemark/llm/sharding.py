@@ -60,7 +60,7 @@ def shuffle_into_shards(docs: DataFrame, path: str, *, shards: int = 16, seed: i
     scattered, found = scatter(docs)
     if any(x["bytes"] > 4 * bucket_bytes + x["longest"] for x in found):
         # Many rows are equal in id and text. Written with a salt, they are spread, and stay as counted.
-        docs, _ = written(docs.withColumn(salt, F.monotonically_increasing_id()), "salted")
+        docs, _ = written(docs.withColumn(salt, F.monotonically_increasing_id()), "salted", "zstd")
         scattered, found = scatter(docs, q(salt))
     counts = {x[b]: x["n"] for x in found}
     starts, at = np.zeros(buckets, np.int64), 0

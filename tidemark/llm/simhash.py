@@ -154,7 +154,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         raise ValueError("bits must be 0 to 3")
     docs = without(docs, "fingerprint", "component_id")
     fp, component = unused(docs, "fp", "component")
-    known, _ = written(fingerprints(docs, fp, text_col=text_col, width=width, keep=keep), "fingerprints")
+    known, _ = written(fingerprints(docs, fp, text_col=text_col, width=width, keep=keep), "fingerprints", "zstd")
     slim = known.where(q(id_col).isNotNull()).select(q(id_col).cast("long").alias("id"), q(fp).alias("fp"))
     classes = components_of(slim, bits, block).select(F.col("fp").alias(fp), F.col("component").alias(component))
     joined = known.join(classes, fp, "left")
