@@ -254,6 +254,14 @@ def decode_bpe(df: DataFrame, path: str, *, ids_col: str = "ids", out: str = "de
     return df.mapInArrow(lambda it: _decoded(it, path, at, out), schema)
 
 
+def round_trip(docs: DataFrame, path: str, *, text_col: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """encode_bpe and decode_bpe in one pass, by one worker with one vocabulary."""
+    docs = without(docs, ids, decoded)
+    at, n = docs.columns.index(text_col), len(docs.columns)
+    schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())])
+    return docs.mapInArrow(lambda it: _decoded(_encoded(it, path, at, ids), path, n, decoded), schema)
+
+
 def digests(docs: DataFrame, path: str, *, text_col: str = "text") -> DataFrame:
     """docs without its text, with n_tokens (long), ids_sha256 and decoded_sha256: encoded and decoded in one pass, so the ids don't cross to the JVM."""
     docs = docs.select(*[q(c) for c in docs.columns if c != text_col], q(text_col))
