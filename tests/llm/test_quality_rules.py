@@ -4,7 +4,7 @@ import re
 import pytest
 import xxhash
 
-from tidemark.llm.quality_rules import BINS, THRESHOLD, assess, op10_likelihood_ratio, trusted_ids
+from tidemark.llm.quality_rules import BINS, SMOOTHING, THRESHOLD, assess, op10_likelihood_ratio, trusted_ids
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -28,9 +28,12 @@ def signed(x):
 
 
 def bins(text, n):
-    h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words(text)]
-    pair = [xxhash.xxh64_intdigest(b.to_bytes(8, "little"), xxhash.xxh64_intdigest(a.to_bytes(8, "little"), 42)) for a, b in zip(h, h[1:])]
-    return [signed(x) % n for x in h + pair]
+    return [signed(spark_hash(0, w[:3])) % n for w in words(text)] + [signed(spark_hash(1, w[-3:])) % n for w in words(text)]
+
+
+def spark_hash(edge, x):
+    """xxhash64 of an int and a string: the int's hash (seed 42) is the string's seed."""
+    return xxhash.xxh64_intdigest(x.encode(), xxhash.xxh64_intdigest(edge.to_bytes(4, "little"), 42))
 
 
 def plain(docs, good, n=BINS):
@@ -40,7 +43,7 @@ def plain(docs, good, n=BINS):
             raw[b] += 1
             target[b] += i in good
     r, g = sum(raw), sum(target)
-    ratio = [math.log((y + 1) / (g + n)) - math.log((x + 1) / (r + n)) if g else 0.0 for x, y in zip(raw, target)]
+    ratio = [math.log((1 - SMOOTHING) * y * r / (g * x) + SMOOTHING) if g and x else 0.0 for x, y in zip(raw, target)]
     out = []
     for i, t in docs:
         base, b = plain_base(t), bins(t, n)

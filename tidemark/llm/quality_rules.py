@@ -1,7 +1,8 @@
 """Quality rules: base counts of every text, and a hashed n-gram log-likelihood ratio. DataFrame operations only.
 
-Two multinomials over hashed word n-grams (one and two words) are counted by grouped aggregation: one over the trusted
-target documents, one over the whole raw corpus. A document's ratio is the mean over its n-grams of
+Two multinomials over hashed character n-grams (those at both ends of each word) are counted by grouped aggregation: one
+over the trusted target documents, one over the whole raw corpus. There are so few n-grams of this kind that neither
+small corpora leave most of them unseen nor large ones fill every bin with others. A document's ratio is the mean over its n-grams of
 log(p_target / p_raw), so long and short texts compare; a document is kept if the ratio reaches a fixed threshold.
 The only table sent to all tasks is the array of log ratios: one double a hash bin, a bound that doesn't depend on the data.
 """
@@ -15,55 +16,65 @@ from tidemark.llm.common import q, table, unused, without, written
 
 #: Hash bins of the n-grams.
 BINS = 1 << 16
-#: Added to each bin's count in both multinomials.
-SMOOTHING = 1.0
+#: Characters of an n-gram.
+GRAM = 3
+#: Share of the raw distribution mixed into the target's, so that a ratio is never below the logarithm of it, at any size.
+SMOOTHING = 0.01
 #: Least mean log ratio of a kept document.
-THRESHOLD = -0.2
+THRESHOLD = -0.6
 #: Words of a window in the rule on repetition.
 WINDOW = 8
 
 SPACE = "[ \\t-\\r]+"
 
 
+def stays() -> Column:
+    """Always true, but not to the optimiser, which so leaves a column computed once.
+
+    Else a filter on a result is moved below the projections, with the whole expressions of columns that a lambda refers to
+    put into the lambda, to be computed again for every element.
+    """
+    return F.monotonically_increasing_id() >= 0
+
+
 def words_of(text: Column) -> Column:
     """Array of the runs of anything but ASCII white space in a whole text (null: none)."""
     parts = F.split(F.coalesce(text, F.lit("")), SPACE)
     return F.filter(parts, lambda w: w != "")
 
 
-def ngram_bins(h: Column, bins: int = BINS) -> Column:
-    """Hash bins of the one- and two-word n-grams; h, the words' hashes in order, has to be a plain column."""
-    at = lambda x: F.pmod(x, F.lit(bins)).cast("int")
-    pairs = F.transform(F.slice(h, 1, F.greatest(F.size(h) - 1, F.lit(0))), lambda a, i: at(F.xxhash64(a, F.get(h, i + 1))))
-    return F.concat(F.transform(h, at), pairs)
+def ngram_bins(words: Column, bins: int = BINS) -> Column:
+    """Hash bins of the character n-grams that each word begins and ends with (shorter words: the whole word)."""
+    at = lambda edge, x: F.pmod(F.xxhash64(F.lit(edge), x), F.lit(bins)).cast("int")
+    return F.concat(F.transform(words, lambda w: at(0, F.substring(w, 1, GRAM))), F.transform(words, lambda w: at(1, F.substring(w, -GRAM, GRAM))))
 
 
 def with_base(docs: DataFrame, text: Column, out: dict[str, str], window: int = WINDOW) -> DataFrame:
-    """docs with the base counts under the names in out, and `out["hashes"]`, the words' hashes.
+    """docs with the base counts under the names in out, and `out["words"]`, the array of words.
 
     Repeated windows are told apart by 64-bit hashes of their words' hashes. Only texts that have a repeat take the
     sorting step: (hash, place) in order, entries with an equal neighbour marked, their places in order, and what each
     window covers beyond the one before added up - n log n in the length of the text.
     """
-    words, lines, spans, ordered, places = unused(docs, "words", "lines", "spans", "ordered", "places")
-    h = out["hashes"]
-    docs = docs.withColumn(words, words_of(text)).withColumn(lines, F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: x.rlike("[^ \\t-\\r]")))
+    lines, h, spans, ordered, places = unused(docs, "lines", "hashes", "spans", "ordered", "places")
+    words = out["words"]
+    docs = docs.withColumn(words, F.when(stays(), words_of(text))).withColumn(lines, F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: x.rlike("[^ \\t-\\r]")))
     docs = (
-        docs.withColumn(h, F.transform(q(words), lambda w: F.xxhash64(w)))
+        docs.withColumn(h, F.when(stays(), F.transform(q(words), lambda w: F.xxhash64(w))))
         .withColumn(out["n_words"], F.size(q(words)).cast("long"))
         .withColumn(out["word_chars"], F.length(F.array_join(q(words), "")).cast("long"))
         .withColumn(out["n_symbols"], F.regexp_count(F.coalesce(text, F.lit("")), F.lit("[#*$%&|<>]")).cast("long"))
         .withColumn(out["n_dup_lines"], (F.size(q(lines)) - F.size(F.array_distinct(q(lines)))).cast("long"))
-        .drop(words, lines)
+        .drop(lines)
     )
     starts = F.slice(q(h), 1, F.greatest(F.size(q(h)) - (window - 1), F.lit(0)))
     docs = docs.withColumn(spans, F.transform(starts, lambda x, i: F.xxhash64(x, *[F.get(q(h), i + k) for k in range(1, window)])))
-    docs = docs.withColumn(ordered, F.when(F.size(F.array_distinct(q(spans))) < F.size(q(spans)), F.array_sort(F.transform(q(spans), lambda x, i: F.struct(x.alias("h"), i.alias("i"))))))
+    docs = docs.withColumn(ordered, F.when(stays() & (F.size(F.array_distinct(q(spans))) < F.size(q(spans))), F.array_sort(F.transform(q(spans), lambda x, i: F.struct(x.alias("h"), i.alias("i"))))))
     same = lambda x, i: F.coalesce(x["h"] == F.get(q(ordered), i)["h"], F.lit(False))
     docs = docs.withColumn(places, F.array_sort(F.filter(F.transform(q(ordered), lambda x, i: F.when(same(x, i - 1) | same(x, i + 1), x["i"])), lambda p: p.isNotNull())))
     start = F.struct(F.lit(0).alias("n"), F.lit(-window).alias("last"))
     total = F.aggregate(q(places), start, lambda a, i: F.struct((a["n"] + F.least(F.lit(window), i - a["last"])).alias("n"), i.alias("last")), lambda a: a["n"])
-    return docs.withColumn(out["n_repeat_words"], F.coalesce(total, F.lit(0)).cast("long")).drop(spans, ordered, places)
+    return docs.withColumn(out["n_repeat_words"], F.coalesce(total, F.lit(0)).cast("long")).drop(h, spans, ordered, places)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -72,19 +83,19 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", bins: int = BINS, smoothing: float = SMOOTHING) -> tuple[DataFrame, str]:
-    """One row, one column `ratios`: log(p_target / p_raw) of each bin, in order. Also the path it is written to.
+    """One row, one column `ratios`: log(p_target / p_raw) of each bin, in order, p_target smoothed by p_raw. Also the path it is written to.
 
     Counts cover every n-gram of all documents; target is the part whose ids are in trusted. With no trusted text at
-    all, every ratio is 0. The n-grams are added up within each input task before anything is shuffled.
+    all, every ratio is 0. Texts are dealt by id once, to meet the trusted ids, whose number isn't bounded. The n-grams are added up within each input task before anything is shuffled.
     """
     spark = docs.sparkSession
-    flag = trusted.select(F.col("doc_id").cast("long").alias("tid"), F.lit(1).alias("target"))
+    flag = trusted.select(F.col("doc_id").cast("long").alias("tid"), F.lit(1).alias("target")).hint("merge")
     rows = docs.select(q(id_col).cast("long").alias("did"), q(text_col).alias("t")).join(flag, F.col("did") == F.col("tid"), "left")
-    grams = rows.select(F.coalesce("target", F.lit(0)).alias("target"), F.transform(words_of(F.col("t")), lambda w: F.xxhash64(w)).alias("h")).select("target", F.explode(ngram_bins(F.col("h"), bins)).alias("bin"))
+    grams = rows.select(F.coalesce("target", F.lit(0)).alias("target"), words_of(F.col("t")).alias("w")).select("target", F.explode(ngram_bins(F.col("w"), bins)).alias("bin"))
     counts = grams.groupBy("bin").agg(F.count(F.lit(1)).alias("raw"), F.sum("target").alias("target"))
     full = spark.range(bins).join(counts, F.col("id") == F.col("bin"), "left").select(F.col("id"), F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target"))
     one = full.agg(F.array_sort(F.collect_list(F.struct("id", "raw", "target"))).alias("x"), F.sum("raw").alias("raws"), F.sum("target").alias("targets"))
-    ratio = lambda x: F.log((x["target"] + smoothing) / (F.col("targets") + smoothing * bins)) - F.log((x["raw"] + smoothing) / (F.col("raws") + smoothing * bins))
+    ratio = lambda x: F.when(x["raw"] > 0, F.log((1 - smoothing) * x["target"] * F.col("raws") / (F.col("targets") * x["raw"]) + smoothing)).otherwise(0.0)
     return written(one.select(F.when(F.col("targets") > 0, F.transform("x", ratio)).otherwise(F.transform("x", lambda x: F.lit(0.0))).alias("ratios")), "ratios")
 
 
@@ -98,9 +109,9 @@ def assess(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     docs = without(docs, *names, "base_failed", "llr", "kept")
     ratios, _ = log_ratios(docs, trusted, id_col=id_col, text_col=text_col, bins=bins, smoothing=smoothing)
-    h, grams, r = unused(docs, "hashes", "grams", "ratios")
-    out = with_base(docs, q(text_col), {n: n for n in names} | {"hashes": h})
-    out = out.withColumn(grams, ngram_bins(q(h), bins)).withColumn(r, ratios.scalar()).drop(h)
+    words, grams, r = unused(docs, "words", "grams", "ratios")
+    out = with_base(docs, q(text_col), {n: n for n in names} | {"words": words})
+    out = out.withColumn(grams, ngram_bins(q(words), bins)).withColumn(r, ratios.scalar()).drop(words)
     total = F.aggregate(q(grams), F.lit(0.0), lambda a, b: a + F.get(q(r), b))
     out = out.withColumn("llr", F.coalesce(total / F.nullif(F.size(q(grams)), F.lit(0)), F.lit(0.0))).drop(grams, r)
     out = out.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
