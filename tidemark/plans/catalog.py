@@ -1,9 +1,266 @@
-"""Registered market queries and their SQL counterparts."""
+"""Registered market queries and their SQL counterparts.
 
+Both sides give times as text and numbers in a form that the order of additions doesn't change: averages as 32-bit floats,
+differences of averages (MACD) at two decimals, ratios and percentages at four.
+"""
 
-def queries():
-    return {}
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def oracle_sql():
-    return {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tidemark.functions.columns import FEATURE_GROUPS, KEY, SIGNAL_GROUPS
+from tidemark.operators import candles as C
+from tidemark.operators import incremental as I
+from tidemark.operators import technical as T
+from tidemark.operators import validation as V
+from tidemark.plans import market_sql as Q
+from tidemark.plans import semantic as M
+from tidemark.sources.ticks import event_ticks, scan
+
+TIME, DUCK_TIME = "yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S"
+FRAMES = ["1h", "1d", "7d"]
+BARS = ["open_price", "high_price", "low_price", "close_price", "number_of_trades"]
+SUMS = ["volume", "quote_asset_volume", "taker_buy_base_volume", "taker_buy_quote_volume"]
+ATTRIBUTES = ["candle_direction", "body_size", "upper_wick", "lower_wick", "candle_range", "typical_price", "ohlc_average"]
+MACD = ["macd", "macd_signal", "macd_histogram"]
+
+Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def rounded(name: str) -> str:
+    """How a number is given: f (32-bit), 2 or 4 (decimals), or as it is."""
+    if name in MACD:
+        return "2"
+    if name in SUMS or name in T.INDICATORS or name.startswith(("average_", "total_", "latest_volume", "value")) and not name.endswith(("pct", "normalized", "strength", "position")):
+        return "f"
+    if name in T.feature_names() and name != "ema_alignment" or name.startswith(("current_", "average_")) or name in ("period_change", "bullish_ratio", "bearish_ratio", "value"):
+        return "4"
+    return ""
+
+
+def col(name: str):
+    how, x = rounded(name), F.col(name)
+    if name in ("open_time", "close_time", "ingested_at", "latest_time", "snapshot_time"):
+        x = F.date_format(x, TIME)
+    elif how == "f":
+        x = x.cast("float").cast("double")
+    elif how:
+        x = F.round(x, int(how)) + F.lit(0.0)
+    return x.alias(name)
+
+
+def sql(name: str) -> str:
+    how = rounded(name)
+    if name in ("open_time", "close_time", "ingested_at", "latest_time", "snapshot_time"):
+        return f"strftime({name}, '{DUCK_TIME}') AS {name}"
+    return f"{name}::FLOAT::DOUBLE AS {name}" if how == "f" else f"round({name}, {how}) + 0.0 AS {name}" if how else name
+
+
+def shown(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.select(*[col(n) for n in names])
+
+
+def query(name: str, oracle: str | None = None):
+    def add(f: Query) -> Query:
+        _queries[name] = f
+        if oracle:
+            _sql[name] = oracle
+        return f
+
+    return add
+
+
+def picked(name: str, prefix: str, relation: str, make: Callable[[SparkSession, str], DataFrame], names: list[str], where: str = "true") -> None:
+    """A query whose rows are those of a layer, and its SQL."""
+    query(name, f"{prefix} SELECT {', '.join(sql(n) for n in names)} FROM {relation} WHERE {where}")(lambda s, d: shown(make(s, d).where(where), names))
+
+
+def candles(s: SparkSession, d: str) -> DataFrame:
+    return C.candles(s, d)
+
+
+def indicated(s: SparkSession, d: str) -> DataFrame:
+    return T.with_indicators(candles(s, d))
+
+
+def featured(s: SparkSession, d: str) -> DataFrame:
+    return T.with_features(indicated(s, d))
+
+
+def data(s: SparkSession, d: str) -> DataFrame:
+    return T.with_signals(featured(s, d))
+
+
+picked("ohlcv_hour", Q.TO_CANDLES, "candles", candles, [*KEY, "close_time", *BARS, *SUMS, "ingested_at"], "timeframe = '1h'")
+picked("ohlcv_day_complete", Q.TO_CANDLES, "candles", candles, [*KEY, "close_time", *BARS, *SUMS], "timeframe = '1d'")
+picked("ohlcv_week_complete", Q.TO_CANDLES, "candles", candles, [*KEY, "close_time", *BARS, *SUMS], "timeframe = '7d'")
+picked("candle_attributes", Q.TO_CANDLES, "candles", candles, [*KEY, *ATTRIBUTES])
+picked("candles_bi", Q.TO_CANDLES, "candles", candles, [*KEY, "close_time", *BARS, *SUMS, *ATTRIBUTES])
+for _name, _columns in {"ema": ["ema_9", "ema_21", "ema_50", "ema_200"], "sma": ["sma_20", "sma_50", "sma_200"], "rsi": ["rsi_14"], "atr": ["atr_14"], "bollinger": ["bb_middle", "bb_upper", "bb_lower"], "macd": MACD}.items():
+    picked(_name, Q.TO_INDICATORS, "indicators", indicated, [*KEY, *_columns])
+picked("indicators", Q.TO_INDICATORS, "indicators", indicated, [*KEY, *T.INDICATORS])
+picked("indicators_hourly", Q.TO_INDICATORS, "indicators", lambda s, d: T.with_indicators(C.candles(s, d, ("1h",))), [*KEY, *T.INDICATORS], "timeframe = '1h'")
+for _name, _group in FEATURE_GROUPS.items():
+    picked(f"features_{_name}", Q.ALL, "features", featured, [*KEY, *_group()])
+for _name, _group in SIGNAL_GROUPS.items():
+    picked(f"signals_{_name}", Q.ALL, "data", data, [*KEY, *_group()])
+picked("dataset", Q.ALL, "data", data, [*KEY, *T.feature_names(), *T.signal_names()])
+picked("recent_signals", Q.ALL, "data", data, [*KEY, "macd_bullish_cross", "macd_bearish_cross", "golden_cross", "death_cross", "breakout_confirmation"], "macd_bullish_cross OR macd_bearish_cross OR golden_cross OR death_cross OR breakout_confirmation")
+
+# Dimensions and constant tables.
+query("dim_symbol", f"{Q.ALL} SELECT symbol FROM candles UNION SELECT symbol FROM data")(lambda s, d: M.dim(candles(s, d), data(s, d), "symbol"))
+query("dim_exchange", f"{Q.ALL} SELECT exchange FROM candles UNION SELECT exchange FROM data")(lambda s, d: M.dim(candles(s, d), data(s, d), "exchange"))
+
+
+@query("dim_datetime", f"{Q.TO_CANDLES} SELECT DISTINCT strftime(open_time, '{DUCK_TIME}') AS open_time, strftime(open_time, '%Y-%m-%d') AS date, year(open_time)::INT AS year, month(open_time)::INT AS month_number, strftime(open_time, '%B') AS month_name, day(open_time)::INT AS day, hour(open_time)::INT AS hour, minute(open_time)::INT AS minute, strftime(open_time, '%d %b %Y %H:%M') AS date_label FROM candles")
+def dim_datetime(s, d):
+    x = candles(s, d)
+    out = M.dim_datetime(x, x.select("open_time"))
+    return out.select(col("open_time"), F.col("date").cast("string").alias("date"), "year", "month_number", "month_name", "day", "hour", "minute", "date_label")
+
+
+def _values(rows: list[tuple], names: str) -> str:
+    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(repr(x) for x in r) + ')' for r in rows)}) t({names})"
+
+
+query("dim_timeframe", _values(M.TIMEFRAMES, "timeframe, sort_order"))(lambda s, d: M.dim_timeframe(s))
+query("indicator_selector", _values([(k, i + 1) for i, k in enumerate(M.INDICATORS)], "indicator, sort"))(lambda s, d: M.selector(s))
+query("signal_matrix", _values([(k, i + 1) for i, k in enumerate(M.MATRIX)], "signal, sort"))(lambda s, d: M.signal_matrix(s))
+query("signal_types", _values([(k, p, i + 1) for i, (k, (p, _)) in enumerate(M.SIGNAL_TYPES.items())], "signal_type, polarity, sort"))(lambda s, d: M.signal_types(s))
+
+# Measures and reports, by timeframe and symbol.
+BY = ["timeframe", "symbol"]
+_by = ", ".join(BY)
+_mark = f"m AS (SELECT *, max(open_time) OVER (PARTITION BY {_by}) AS l, min(open_time) OVER (PARTITION BY {_by}) AS f FROM candles)"
+_measures = ["latest_close", "latest_open", "latest_high", "latest_low", "latest_time", "period_open", "period_close", "period_high", "period_low", "total_volume", "latest_volume", "average_volume", "close_price", "candle_count", "period_change"]
+query("candle_measures", f"""{Q.TO_CANDLES}, {_mark}, g AS (SELECT {_by}, max(close_price) FILTER (WHERE open_time = l) AS latest_close, max(open_price) FILTER (WHERE open_time = l) AS latest_open, max(high_price) FILTER (WHERE open_time = l) AS latest_high,
+    min(low_price) FILTER (WHERE open_time = l) AS latest_low, max(open_time) AS latest_time, min(open_price) FILTER (WHERE open_time = f) AS period_open, max(close_price) FILTER (WHERE open_time = l) AS period_close, max(high_price) AS period_high, min(low_price) AS period_low,
+    sum(volume) AS total_volume, sum(volume) FILTER (WHERE open_time = l) AS latest_volume, avg(volume) AS average_volume, max(close_price) AS close_price, count(*) AS candle_count FROM m GROUP BY {_by}),
+    h AS (SELECT *, (period_close - period_open) / nullif(period_open, 0) AS period_change FROM g) SELECT {_by}, {", ".join(sql(n) for n in _measures)} FROM h""")(lambda s, d: shown(M.candle_measures(candles(s, d), BY), [*BY, *_measures]))
+
+_current = ("rsi_normalized", "atr_pct", "macd_strength", "macd_histogram_pct", "bollinger_position", "price_vs_ema50_pct")
+query("current_indicators", f"{Q.ALL}, g AS (SELECT {_by}, {', '.join(f'arg_max({x}, open_time) FILTER (WHERE {x} IS NOT NULL) AS current_{x}' for x in _current)} FROM data GROUP BY {_by}) SELECT {_by}, {', '.join(sql(f'current_{x}') for x in _current)} FROM g")(
+    lambda s, d: shown(M.current_indicators(data(s, d), BY), [*BY, *[f"current_{x}" for x in _current]])
+)
+_bull, _bear = Q.any_of(*M.BULLISH), Q.any_of(*M.BEARISH)
+query("signal_counts", f"{Q.ALL}, g AS (SELECT {_by}, count(*) FILTER (WHERE {_bull}) AS bullish, count(*) FILTER (WHERE {_bear}) AS bearish, count(*) FILTER (WHERE NOT ({_bull} OR {_bear})) AS neutral, count(*) AS states FROM data GROUP BY {_by}) SELECT *, round(bullish / states, 4) + 0.0 AS bullish_ratio, round(bearish / states, 4) + 0.0 AS bearish_ratio FROM g")(
+    lambda s, d: shown(M.signal_counts(data(s, d), BY), [*BY, "bullish", "bearish", "neutral", "states", "bullish_ratio", "bearish_ratio"])
+)
+query("indicator_averages", f"{Q.ALL}, g AS (SELECT {_by}, {', '.join(f'avg({x}) AS average_{x}' for x in M.INDICATORS.values())} FROM data GROUP BY {_by}) SELECT {_by}, {', '.join(sql(f'average_{x}') for x in M.INDICATORS.values())} FROM g")(
+    lambda s, d: shown(M.indicator_averages(data(s, d), BY), [*BY, *[f"average_{x}" for x in M.INDICATORS.values()]])
+)
+query("indicator_explorer", f"{Q.ALL} SELECT timeframe, strftime(open_time, '{DUCK_TIME}') AS open_time, round(avg(bollinger_position), 4) + 0.0 AS value, 'Bollinger Position over time' AS title FROM data GROUP BY timeframe, data.open_time")(
+    lambda s, d: M.selected_indicator(data(s, d), ["timeframe", "open_time"], "Bollinger Position").select("timeframe", col("open_time"), (F.round("value", 4) + 0.0).alias("value"), "title")
+)
+query("price_series", f"{Q.TO_CANDLES} SELECT timeframe, strftime(open_time, '{DUCK_TIME}') AS open_time, max(high_price) AS high_price, min(low_price) AS low_price, max(close_price) AS close_price, sum(volume)::FLOAT::DOUBLE AS volume FROM candles GROUP BY timeframe, candles.open_time")(
+    lambda s, d: shown(candles(s, d).groupBy("timeframe", "open_time").agg(F.max("high_price").alias("high_price"), F.min("low_price").alias("low_price"), F.max("close_price").alias("close_price"), F.sum("volume").alias("volume")), ["timeframe", "open_time", "high_price", "low_price", "close_price", "volume"])
+)
+query("rsi_macd_series", f"{Q.ALL} SELECT timeframe, strftime(open_time, '{DUCK_TIME}') AS open_time, {', '.join(f'round(avg({x}), 4) + 0.0 AS average_{x}' for x in ('rsi_normalized', 'macd_strength', 'macd_histogram_pct'))} FROM data GROUP BY timeframe, data.open_time")(
+    lambda s, d: shown(M.indicator_averages(data(s, d), ["timeframe", "open_time"]), ["timeframe", "open_time", "average_rsi_normalized", "average_macd_strength", "average_macd_histogram_pct"])
+)
+_parts = ["ema_score", "macd_score", "rsi_score", "bollinger_score", "ema50_score", "breakout_score", "bias_score", "bias", "macd_confirmation"]
+query("market_bias", f"{Q.ALL}, {Q.bias(_by)} SELECT {_by}, {', '.join(_parts)} FROM scores")(lambda s, d: M.bias_scores(data(s, d), BY))
+query("timeframe_bias", f"{Q.ALL}, {Q.bias('timeframe')} SELECT timeframe, CASE WHEN bias_score > 0 THEN bias_score END AS bullish, CASE WHEN bias_score < 0 THEN bias_score END AS bearish, CASE WHEN bias_score = 0 THEN 0.25::DOUBLE END AS neutral FROM scores")(
+    lambda s, d: M.timeframe_bias(data(s, d), ["timeframe"]).withColumn("neutral", F.col("neutral").cast("double"))
+)
+_sign = "CASE WHEN score > 0 THEN '🟢 Alcista' WHEN score < 0 THEN '🔴 Bajista' ELSE '⚪ Neutral' END"
+_confirm = f"k AS (SELECT timeframe, unnest(['EMA Alignment', 'MACD', 'RSI', 'Bollinger', 'Breakout', 'Resultado']) AS signal, unnest([ema_score, macd_confirmation, rsi_score, bollinger_score, breakout_score, sign(bias_score)::INT]) AS score FROM scores)"
+query("signal_confirmation", f"{Q.ALL}, {Q.bias('timeframe')}, {_confirm} SELECT *, {_sign} AS label FROM k")(lambda s, d: M.confirmations(data(s, d), ["timeframe"]))
+_pivot = lambda row, value: ", ".join(f"max({value}) FILTER (WHERE timeframe = '{t}') AS \"{t}\"" for t in FRAMES)
+query("confirmation_matrix", f"{Q.ALL}, {Q.bias('timeframe')}, {_confirm} SELECT signal, {_pivot('signal', _sign)} FROM k GROUP BY signal")(lambda s, d: M.confirmation_matrix(data(s, d), FRAMES))
+query("bias_matrix", f"{Q.ALL}, {Q.bias(_by)} SELECT symbol, {_pivot('symbol', 'bias')} FROM scores GROUP BY symbol")(lambda s, d: M.bias_matrix(data(s, d), FRAMES))
+query("strength_ranking", f"{Q.ALL}, {Q.bias(_by)} SELECT {_by}, bias_score FROM scores ORDER BY bias_score DESC, {_by}")(lambda s, d: M.strength_ranking(data(s, d), BY))
+query("signal_events", f"{Q.ALL}, e AS (" + " UNION ALL ".join(f"SELECT {_by}, '{k}' AS signal_type, count(*) AS events FROM data WHERE {Q.any_of(*n)} GROUP BY {_by}" for k, (_, n) in M.SIGNAL_TYPES.items()) + ") SELECT * FROM e")(lambda s, d: M.signal_events(data(s, d), BY))
+query("risk_scatter", f"{Q.ALL} SELECT a.*, total_volume FROM (SELECT {_by}, round(avg(atr_pct), 4) + 0.0 AS average_atr_pct, round(avg(rsi_normalized), 4) + 0.0 AS average_rsi_normalized FROM data GROUP BY {_by}) a JOIN (SELECT {_by}, sum(volume)::FLOAT::DOUBLE AS total_volume FROM candles GROUP BY {_by}) USING ({_by})")(
+    lambda s, d: shown(M.risk_scatter(candles(s, d), data(s, d), BY), [*BY, "average_atr_pct", "average_rsi_normalized", "total_volume"])
+)
+query("volume_treemap", f"{Q.TO_CANDLES} SELECT {_by}, sum(volume)::FLOAT::DOUBLE AS total_volume FROM candles GROUP BY {_by}")(lambda s, d: shown(candles(s, d).groupBy(*BY).agg(F.sum("volume").alias("total_volume")), [*BY, "total_volume"]))
+_category = f"""c0 AS (SELECT timeframe, symbol, CASE WHEN ema_bullish_alignment THEN 1 WHEN ema_bearish_alignment THEN -1 ELSE 0 END + CASE WHEN {Q.any_of("macd_bullish_cross", "macd_positive")} THEN 1 WHEN macd_bearish_cross THEN -1 ELSE 0 END
+    + CASE WHEN coalesce(rsi_normalized, 0) >= 0.6 THEN 1 WHEN coalesce(rsi_normalized, 0) <= 0.4 THEN -1 ELSE 0 END
+    + CASE WHEN coalesce(bollinger_breakout_up, false) OR coalesce(bollinger_position, 0) >= 0.6 THEN 1 WHEN coalesce(bollinger_breakout_down, false) OR coalesce(bollinger_position, 0) <= 0.4 THEN -1 ELSE 0 END
+    + CASE WHEN coalesce(breakout_confirmation, false) AND {Q.any_of("new_20_high", "new_50_high")} THEN 1 WHEN coalesce(breakout_confirmation, false) AND {Q.any_of("new_20_low", "new_50_low")} THEN -1 ELSE 0 END AS score FROM data),
+c1 AS (SELECT timeframe, symbol, CASE WHEN score >= 2 THEN 'Bullish' WHEN score <= -2 THEN 'Bearish' ELSE 'Neutral' END AS bias_category FROM c0)"""
+query("state_distribution", f"{Q.ALL}, {_category} SELECT {_by}, bias_category, count(*) AS states, CASE bias_category WHEN 'Bullish' THEN 1 WHEN 'Bearish' THEN -1 ELSE 0 END AS distribution_score FROM c1 GROUP BY ALL")(lambda s, d: M.state_distribution(data(s, d), BY))
+
+
+# Snapshots, incremental protocols and keyed writes: the target is what was there before the cut.
+CUT = {"1h": "2024-01-20 00:00:00", "1d": "1998-06-01 00:00:00"}
+
+
+def _before(df: DataFrame, late: bool = False) -> DataFrame:
+    """The table as it was: up to the cut, and (late) without every seventh hour, as rows that come late."""
+    out = df.where(F.col("open_time") < F.lit(CUT["1h"]).cast("timestamp"))
+    return out.where(F.hour("open_time") % 7 != 3) if late else out
+
+
+def hours(s: SparkSession, d: str) -> DataFrame:
+    return C.candles(s, d, ("1h",))
+
+
+_h = "h AS (SELECT * FROM candles WHERE timeframe = '1h')"
+_cut = f"TIMESTAMP '{CUT['1h']}'"
+_late = f"t AS (SELECT * FROM h WHERE open_time < {_cut} AND hour(open_time) % 7 <> 3)"
+_keys = [*KEY, "close_price"]
+_shown_keys = ", ".join(sql(k) for k in _keys)
+query("high_water_global", f"{Q.TO_CANDLES}, {_h}, {_late} SELECT {_shown_keys} FROM h WHERE open_time > (SELECT max(open_time) FROM t)")(lambda s, d: shown(I.above_high_water(hours(s, d), _before(hours(s, d), True), "global"), _keys))
+query("high_water_by_key", f"{Q.TO_CANDLES}, {_h}, {_late}, x AS (SELECT symbol, max(open_time) AS top FROM t GROUP BY symbol) SELECT {_shown_keys} FROM h LEFT JOIN x USING (symbol) WHERE top IS NULL OR open_time > top")(lambda s, d: shown(I.above_high_water(hours(s, d), _before(hours(s, d), True)), _keys))
+_ind = [*KEY, "ema_9", "sma_20", "rsi_14", "macd"]
+query("incremental_set_difference", f"{Q.TO_INDICATORS}, {_h}, {_late} SELECT {', '.join(sql(k) for k in _ind)} FROM indicators i WHERE timeframe = '1h' AND NOT EXISTS (SELECT 1 FROM t WHERE t.symbol = i.symbol AND t.open_time = i.open_time)")(
+    lambda s, d: shown(I.set_difference(hours(s, d), _before(hours(s, d), True), T.with_indicators), _ind)
+)
+query("incremental_lookback", f"{Q.ALL}, {_h} SELECT {', '.join(sql(k) for k in [*KEY, 'distance_to_20_high', 'price_change_5'])} FROM (SELECT timeframe, exchange, symbol, open_time, {Q.pct(Q.frame('max(high_price)', 20) + ' - close_price', 'close_price')} AS distance_to_20_high, {Q.change('close_price', 5)} AS price_change_5 FROM h WHERE open_time >= (SELECT max(open_time) FROM h WHERE open_time < {_cut}) - INTERVAL 5 DAY {Q.O}) WHERE open_time >= {_cut}")(
+    lambda s, d: shown(I.lookback(hours(s, d), _before(hours(s, d)), lambda x: x.withColumns({k: v for g in (FEATURE_GROUPS["price_action"]().items(), FEATURE_GROUPS["momentum"]().items()) for k, v in g if k in ("distance_to_20_high", "price_change_5")}), 5, "global"), [*KEY, "distance_to_20_high", "price_change_5"])
+)
+query("upsert_merge", f"{Q.TO_CANDLES}, {_h} SELECT {_shown_keys.replace('close_price', 'CASE WHEN open_time >= ' + _cut + ' - INTERVAL 2 DAY THEN close_price + 1 ELSE close_price END AS close_price')} FROM h")(
+    lambda s, d: shown(I.upserted(_before(hours(s, d)), hours(s, d).where(F.col("open_time") >= F.lit(CUT["1h"]).cast("timestamp") - F.expr("INTERVAL 2 DAYS")).withColumn("close_price", F.col("close_price") + 1), KEY), _keys)
+)
+query("insert_ignore", f"{Q.TO_CANDLES}, {_h} SELECT {_shown_keys} FROM h WHERE open_time >= {_cut}")(lambda s, d: shown(I.not_yet_there(hours(s, d).union(hours(s, d)), _before(hours(s, d)), KEY), _keys))
+
+
+@query("latest_snapshot", f"""WITH p AS (SELECT event_type AS symbol, arg_max(value, ts) AS price, max(ts) AS price_at FROM events GROUP BY 1),
+t AS (SELECT event_type AS symbol, max(value) AS high_price, min(value) AS low_price, count(*) AS count FROM events e JOIN (SELECT event_type, max(ts) AS top FROM events GROUP BY 1) USING (event_type) WHERE ts > top - INTERVAL 24 HOUR GROUP BY 1)
+SELECT 'BINANCE' AS exchange, symbol, price, high_price, low_price, count, strftime(price_at, '{DUCK_TIME}') AS snapshot_time FROM p JOIN t USING (symbol)""")
+def latest_snapshot(s, d):
+    ticks = event_ticks(s, d).withColumn("ingested_at", F.col("ts"))
+    tops = ticks.groupBy("exchange", "symbol").agg(F.max("ts").alias("top"))
+    day = ticks.join(tops, ["exchange", "symbol"]).where(F.col("ts") > F.col("top") - F.expr("INTERVAL 24 HOURS"))
+    tickers = day.groupBy("exchange", "symbol").agg(F.max("price").alias("high_price"), F.min("price").alias("low_price"), F.count(F.lit(1)).alias("count"), F.max("ts").alias("ingested_at"))
+    return C.latest_snapshot(ticks.select("exchange", "symbol", "price", "ingested_at"), tickers).select("exchange", "symbol", "price", "high_price", "low_price", "count", col("snapshot_time"))
+
+
+# Validation and data tests.
+@query("price_violations", "SELECT event_id, CASE WHEN trim(event_type) = '' THEN 'symbol_blank' ELSE 'price_not_positive' END AS violation FROM (SELECT event_id, event_type, CASE WHEN event_id % 97 = 0 THEN -value WHEN event_id % 101 = 0 THEN 'nan'::DOUBLE ELSE value END AS price FROM events) WHERE NOT (price > 0 AND NOT isnan(price))")
+def price_violations(s, d):
+    price = F.when(F.col("event_id") % 97 == 0, -F.col("value")).when(F.col("event_id") % 101 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    return V.violations(scan(s, d, "events").select("event_id", F.col("event_type").alias("symbol"), price.alias("price")), "price").select("event_id", "violation")
+
+
+@query("kline_violations", f"{Q.TO_CANDLES}, k AS (SELECT *, CASE WHEN number_of_trades % 5 = 4 THEN low_price - 1 ELSE high_price END AS h FROM candles WHERE timeframe = '1h') SELECT {', '.join(sql(x) for x in KEY)}, CASE WHEN low_price <= 0 OR h <= 0 OR open_price <= 0 OR close_price <= 0 THEN 'price' ELSE 'high_below_low' END AS violation FROM k WHERE open_price <= 0 OR close_price <= 0 OR low_price <= 0 OR h <= 0 OR h < low_price")
+def kline_violations(s, d):
+    bad = hours(s, d).withColumn("high_price", F.when(F.col("number_of_trades") % 5 == 4, F.col("low_price") - 1).otherwise(F.col("high_price")))
+    out = V.violations(bad, "kline")
+    return out.select(*[col(x) for x in KEY], F.when(F.col("violation").contains("price_not"), "price").otherwise(F.col("violation")).alias("violation"))
+
+
+query("indicator_invariants", f"{Q.TO_INDICATORS} SELECT {', '.join(sql(x) for x in KEY)}, 'band_missing' AS broken FROM indicators WHERE rn >= 20 AND bb_upper IS NULL")(lambda s, d: V.invariants(indicated(s, d)).select(*[col(x) for x in KEY], "broken"))
+query("macd_signal_flat", f"{Q.TO_INDICATORS}, n AS (SELECT *, row_number() OVER (PARTITION BY timeframe, exchange, symbol ORDER BY open_time DESC) AS k FROM indicators), g AS (SELECT timeframe, count(*) AS c, count(DISTINCT macd_signal) AS v FROM n WHERE k <= 20 GROUP BY timeframe, exchange, symbol) SELECT timeframe, count(*) FILTER (WHERE c = 20) AS series, count(*) FILTER (WHERE c = 20 AND v <= 1) AS flat FROM g GROUP BY timeframe HAVING count(*) FILTER (WHERE c = 20 AND v <= 1) > 0")(lambda s, d: V.flat_signals(indicated(s, d)))
+query("coverage_anti_join", f"{Q.TO_CANDLES}, {_h}, {_late} SELECT {', '.join(sql(x) for x in KEY)} FROM h ANTI JOIN t USING (timeframe, exchange, symbol, open_time)")(lambda s, d: V.uncovered(hours(s, d), _before(hours(s, d), True)).select(*[col(x) for x in KEY]))
+query("not_null", "SELECT 'rsi_14' AS \"column\", count(*) AS nulls FROM (" + f"{Q.TO_INDICATORS} SELECT * FROM indicators) WHERE rsi_14 IS NULL")(lambda s, d: V.null_counts(indicated(s, d), ["symbol", "ema_9", "sma_20", "rsi_14"]))
+query("accepted_timeframes", f"{Q.TO_CANDLES} SELECT timeframe AS value, count(*) AS rows FROM candles WHERE timeframe NOT IN ('5m', '15m', '30m', '1h', '1d') GROUP BY timeframe")(lambda s, d: V.unaccepted(candles(s, d), "timeframe", ["5m", "15m", "30m", "1h", "1d"]))
+query("top20_per_key", f"{Q.TO_CANDLES} SELECT {_shown_keys}, rn FROM (SELECT *, row_number() OVER (PARTITION BY timeframe, exchange, symbol ORDER BY open_time DESC) AS rn FROM candles) WHERE rn <= 20")(
+    lambda s, d: candles(s, d).withColumn("rn", F.row_number().over(Window.partitionBy(*KEY[:3]).orderBy(F.desc("open_time")))).where("rn <= 20").select(*[col(x) for x in _keys], F.col("rn").cast("long").alias("rn"))
+)
+query("table_counts", f"{Q.ALL} SELECT 'candles' AS layer, count(*) AS rows FROM candles UNION ALL SELECT 'dataset', count(*) FROM data")(lambda s, d: candles(s, d).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("candles").alias("layer"), "rows").union(data(s, d).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("dataset"), "rows")))
+
+
+def queries() -> dict[str, Query]:
+    return dict(_queries)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_sql)
