@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 SERIES = ["timeframe", "exchange", "symbol"]
 KEY = [*SERIES, "open_time"]
 
-W = Window.partitionBy(*SERIES).orderBy("open_time")
+
+def series():
+    """The window over a series in order of time."""
+    return Window.partitionBy(*SERIES).orderBy("open_time")
 
 
 def last(n: int):
     """The last n rows of the series, this one included; fewer at its start."""
-    return W.rowsBetween(1 - n, 0)
+    return series().rowsBetween(1 - n, 0)
 
 
 def nz(x: Column) -> Column:
@@ -52,7 +55,7 @@ def attributes() -> dict[str, Column]:
 
 def moves() -> dict[str, Column]:
     """True range, gain and loss against the close before; greatest() skips the nulls of a series' first row."""
-    before, close = F.lag("close_price").over(W), c("close_price")
+    before, close = F.lag("close_price").over(series()), c("close_price")
     return {
         "tr": F.greatest(c("high_price") - c("low_price"), F.abs(c("high_price") - before), F.abs(c("low_price") - before)),
         "gain": F.greatest(close - before, F.lit(0.0)),
@@ -94,7 +97,7 @@ def pct(part: Column, whole: Column) -> Column:
 
 
 def change(x: str, n: int = 1) -> Column:
-    before = F.lag(x, n).over(W)
+    before = F.lag(x, n).over(series())
     return pct(c(x) - before, before)
 
 
@@ -140,12 +143,19 @@ def price_action_features() -> dict[str, Column]:
     }
 
 
+#: Names of the features of each group, in order; known without a session.
+FEATURES = {
+    "trend": ["ema9_distance_pct", "ema21_distance_pct", "ema50_distance_pct", "ema200_distance_pct", "ema_alignment", "ema_slope_9", "ema_slope_21", "ema_slope_50", "price_vs_ema50_pct", "price_vs_ema200_pct"],
+    "momentum": ["rsi_normalized", "macd_strength", "macd_histogram_pct", "price_change_5", "price_change_10", "price_change_20"],
+    "volatility": ["atr_pct", "rolling_std", "bollinger_width", "bollinger_position"],
+    "price_action": ["candle_body_ratio", "upper_wick_ratio", "lower_wick_ratio", "distance_to_20_high", "distance_to_50_high", "distance_to_20_low", "distance_to_50_low"],
+}
 FEATURE_GROUPS: dict[str, Callable[[], dict[str, Column]]] = {"trend": trend_features, "momentum": momentum_features, "volatility": volatility_features, "price_action": price_action_features}
 
 
 def crosses(a: str, b: str, up: bool) -> Column:
     """a goes above (below) b on this row, having been at or under (over) it on the row before."""
-    x, y = F.lag(a).over(W), F.lag(b).over(W)
+    x, y = F.lag(a).over(series()), F.lag(b).over(series())
     return (c(a) > c(b)) & (x <= y) if up else (c(a) < c(b)) & (x >= y)
 
 
@@ -164,7 +174,7 @@ def momentum_signals() -> dict[str, Column]:
     return {
         "rsi_overbought": c("rsi_14") >= 70,
         "rsi_oversold": c("rsi_14") <= 30,
-        "rsi_recovering": (c("rsi_14") > F.lag("rsi_14").over(W)) & (c("rsi_14") > 30),
+        "rsi_recovering": (c("rsi_14") > F.lag("rsi_14").over(series())) & (c("rsi_14") > 30),
         "macd_bullish_cross": crosses("macd", "macd_signal", True),
         "macd_bearish_cross": crosses("macd", "macd_signal", False),
         "macd_positive": c("macd") > 0,
@@ -192,4 +202,11 @@ def breakout_signals() -> dict[str, Column]:
     }
 
 
+#: Names of the signals of each group.
+SIGNALS = {
+    "trend": ["ema_bullish_alignment", "ema_bearish_alignment", "price_above_ema50", "price_above_ema200", "golden_cross", "death_cross"],
+    "momentum": ["rsi_overbought", "rsi_oversold", "rsi_recovering", "macd_bullish_cross", "macd_bearish_cross", "macd_positive"],
+    "volatility": ["high_volatility", "low_volatility", "bollinger_breakout_up", "bollinger_breakout_down"],
+    "breakout": ["new_20_high", "new_20_low", "new_50_high", "new_50_low", "breakout_confirmation"],
+}
 SIGNAL_GROUPS: dict[str, Callable[[], dict[str, Column]]] = {"trend": trend_signals, "momentum": momentum_signals, "volatility": volatility_signals, "breakout": breakout_signals}

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import SERIES, W
+from tidemark.functions.columns import SERIES, series
 
 BLOCK = 256
 
@@ -30,7 +30,7 @@ def with_ema(df: DataFrame, wanted: dict[str, tuple[str, int]]) -> DataFrame:
     """df with a column for each entry of wanted: name -> (column, period). The column must have no nulls."""
     own = [*SERIES, "__b"]
     in_block = Window.partitionBy(*own).orderBy("open_time").rowsBetween(Window.unboundedPreceding, 0)
-    rn = F.row_number().over(W)
+    rn = F.row_number().over(series())
     rows = df.withColumn("__rn", rn).withColumn("__b", F.floor((F.col("__rn") - 1) / BLOCK)).withColumn("__r", (F.col("__rn") - 1) % BLOCK)
     sums = {f"__n_{k}": F.pow(F.lit(factor(p)), F.col("__r")) * F.sum(F.col(x) * F.pow(F.lit(factor(p)), -F.col("__r"))).over(in_block) for k, (x, p) in wanted.items()}
     rows = rows.withColumns(sums)

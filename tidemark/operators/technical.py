@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import FEATURE_GROUPS, KEY, SIGNAL_GROUPS, averages, moves
+from tidemark.functions.columns import FEATURE_GROUPS, FEATURES, KEY, SIGNAL_GROUPS, SIGNALS, averages, moves
 from tidemark.functions.ema import with_ema
 
 EMAS = (9, 21, 50, 200)
@@ -21,11 +21,11 @@ def with_indicators(candles: DataFrame) -> DataFrame:
 
 
 def feature_names() -> list[str]:
-    return [n for g in FEATURE_GROUPS.values() for n in g()]
+    return [n for g in FEATURES.values() for n in g]
 
 
 def signal_names() -> list[str]:
-    return [n for g in SIGNAL_GROUPS.values() for n in g()]
+    return [n for g in SIGNALS.values() for n in g]
 
 
 def with_features(indicated: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import FEATURE_GROUPS, KEY, SIGNAL_GROUPS
+from tidemark.functions.columns import FEATURE_GROUPS, FEATURES, KEY, SIGNALS
 from tidemark.operators import candles as C
 from tidemark.operators import incremental as I
 from tidemark.operators import technical as T
@@ -105,10 +105,10 @@ for _name, _columns in {"ema": ["ema_9", "ema_21", "ema_50", "ema_200"], "sma":
     picked(_name, Q.TO_INDICATORS, "indicators", indicated, [*KEY, *_columns])
 picked("indicators", Q.TO_INDICATORS, "indicators", indicated, [*KEY, *T.INDICATORS])
 picked("indicators_hourly", Q.TO_INDICATORS, "indicators", lambda s, d: T.with_indicators(C.candles(s, d, ("1h",))), [*KEY, *T.INDICATORS], "timeframe = '1h'")
-for _name, _group in FEATURE_GROUPS.items():
-    picked(f"features_{_name}", Q.ALL, "features", featured, [*KEY, *_group()])
-for _name, _group in SIGNAL_GROUPS.items():
-    picked(f"signals_{_name}", Q.ALL, "data", data, [*KEY, *_group()])
+for _name, _group in FEATURES.items():
+    picked(f"features_{_name}", Q.ALL, "features", featured, [*KEY, *_group])
+for _name, _group in SIGNALS.items():
+    picked(f"signals_{_name}", Q.ALL, "data", data, [*KEY, *_group])
 picked("dataset", Q.ALL, "data", data, [*KEY, *T.feature_names(), *T.signal_names()])
 picked("recent_signals", Q.ALL, "data", data, [*KEY, "macd_bullish_cross", "macd_bearish_cross", "golden_cross", "death_cross", "breakout_confirmation"], "macd_bullish_cross OR macd_bearish_cross OR golden_cross OR death_cross OR breakout_confirmation")
 
