@@ -1,7 +1,7 @@
 """Registered market queries and their SQL counterparts.
 
 Both sides give times as text and numbers in a form that the order of additions doesn't change: averages as 32-bit floats,
-differences of averages (MACD) at two decimals, ratios and percentages at four.
+differences of averages (MACD) as such floats of their sum with 100,000, ratios and percentages at four.
 """
 
 from __future__ import annotations
@@ -33,9 +33,9 @@ _sql: dict[str, str] = {}
 
 
 def rounded(name: str) -> str:
-    """How a number is given: f (32-bit), 2 or 4 (decimals), or as it is."""
+    """How a number is given: f (32-bit), m (the same beside 100,000, so by absolute size), 4 (decimals), or as it is."""
     if name in MACD:
-        return "2"
+        return "m"
     if name in SUMS or name in T.INDICATORS or name.startswith(("average_", "total_", "latest_volume", "value")) and not name.endswith(("pct", "normalized", "strength", "position")):
         return "f"
     if name in T.feature_names() and name != "ema_alignment" or name.startswith(("current_", "average_")) or name in ("period_change", "bullish_ratio", "bearish_ratio", "value"):
@@ -49,6 +49,8 @@ def col(name: str):
         x = F.date_format(x, TIME)
     elif how == "f":
         x = x.cast("float").cast("double")
+    elif how == "m":
+        x = (x + 100000).cast("float").cast("double") - 100000
     elif how:
         x = F.round(x, int(how)) + F.lit(0.0)
     return x.alias(name)
@@ -58,6 +60,8 @@ def sql(name: str) -> str:
     how = rounded(name)
     if name in ("open_time", "close_time", "ingested_at", "latest_time", "snapshot_time"):
         return f"strftime({name}, '{DUCK_TIME}') AS {name}"
+    if how == "m":
+        return f"({name} + 100000)::FLOAT::DOUBLE - 100000 AS {name}"
     return f"{name}::FLOAT::DOUBLE AS {name}" if how == "f" else f"round({name}, {how}) + 0.0 AS {name}" if how else name
 
 
