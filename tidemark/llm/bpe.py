@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from tidemark.llm.common import q, table, without
 
 #: Texts' pieces whose ids a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
 
 class SuffixAutomaton:
@@ -117,6 +117,7 @@ class WordBpe:
         self.automaton = SuffixAutomaton([spelled[t] for t in self.ids])
         self.stands = functools.lru_cache(1 << 18)(self.pair_stands)
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
         """Tokens along a token's right (1) or left (0) edge from the symbol up, each with the rank of the merge that takes it in."""
@@ -178,9 +179,22 @@ class WordBpe:
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids (little-endian, 32 bits) of a run without white space."""
-        x = unicodedata.normalize("NFC", chunk)
-        x = "".join(c.lower() for c in x) if "Σ" in x else x.lower()  # by letters: a final sigma is not special
-        return np.array([i for piece in self.pattern.findall(x) for i in self.encode_word(piece.encode())], "<u4").tobytes()
+        if chunk.isascii():
+            x = chunk.lower()
+        else:
+            x = unicodedata.normalize("NFC", chunk)
+            x = "".join(c.lower() for c in x) if "Σ" in x else x.lower()  # by letters: a final sigma is not special
+        pieces, out = self.pieces, []
+        for piece in self.pattern.findall(x):
+            ids = pieces.get(piece)
+            if ids is None:
+                if len(pieces) >= REMEMBERED:
+                    pieces.clear()
+                ids = b"".join([i.to_bytes(4, "little") for i in self.encode_word(piece.encode())])
+                if len(piece) < 100:
+                    pieces[piece] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def _plain(self, text: str) -> list[bytes]:
         # str.split also cuts at U+001C to U+001F, which aren't white space to the vocabulary's own rules.
