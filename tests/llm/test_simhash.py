@@ -48,6 +48,20 @@ def test_forest():
     assert forest(300, i, j).tolist() == [want[k] for k in range(300)]
 
 
+def test_forest_of_paths_and_sparse_graphs():
+    cases = [(11, [(1, 6), (2, 6), (2, 7), (3, 7), (3, 8), (5, 8), (5, 9), (4, 9), (4, 10), (0, 10)])]
+    r = np.random.default_rng(2)
+    for n in (2, 11, 40, 256):
+        for _ in range(50):
+            order = r.permutation(n)
+            path = np.stack([order[:-1], order[1:]], axis=1)
+            cases += [(n, r.permutation(path).tolist()), (n, r.integers(0, n, (r.integers(1, n + 1), 2)).tolist())]
+    for n, links in cases:
+        i, j = np.array(links).T
+        want = plain_components(range(n), links)
+        assert forest(n, i, j).tolist() == [want[k] for k in range(n)]
+
+
 def test_connected_components(spark):
     r = random.Random(3)
     links = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 200)] + [(r.randrange(2000, 2300), r.randrange(2000, 2300)) for _ in range(200)] + [(5, 5)]

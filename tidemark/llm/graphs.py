@@ -66,14 +66,13 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Smallest index reachable from each of n nodes by the links i-j."""
     root = np.arange(n)
     while len(i):
-        low = np.minimum(root[i], root[j])
-        np.minimum.at(root, root[i], low)
-        np.minimum.at(root, root[j], low)
-        root = root[root]
+        # Every entry is a root here, so a hook replaces no earlier one.
+        a, b = root[i], root[j]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root != (r := root[root])).any():
+            root = r
         keep = root[i] != root[j]
         i, j = i[keep], j[keep]
-    while (root != (r := root[root])).any():
-        root = r
     return root
 
 
