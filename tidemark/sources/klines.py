@@ -1,4 +1,6 @@
-"""Klines, prices and 24-hour tickers of an exchange's REST interface: request planning, retries, and parsing to typed rows.
+"""Klines of an exchange's REST interface: request planning, retries, and parsing to typed rows.
+
+Spot prices and 24-hour tickers (SURVEY S3, S4, S9, S10) are not built.
 
 The transport is a function (path, parameters) -> (status, body), so that it can be a HTTP client or a recorded file.
 """
