@@ -27,16 +27,29 @@ def test_whole_table(spark, sf):
     assert max(map(len, by.values())) - min(map(len, by.values())) <= 1
 
 
-@pytest.mark.parametrize("bucket_bytes", [200, 1 << 20])
+@pytest.mark.parametrize("bucket_bytes", [60, 200, 2000, 1 << 20])
 def test_edges_and_partition_invariance(spark, tmp_path, bucket_bytes):
-    data = [(i, "word " * (i % 40), "x", 1) for i in range(200)] + [(None, None, None, None)] * 3 + [(7, "", "y", 2), (None, "é", "z", 3)] + [(500, "same", "s", 4)] * 300
-    got = [rows(shuffle_into_shards(spark.createDataFrame(data, SCHEMA).repartition(k), str(tmp_path / str(k)), shards=5, bucket_bytes=bucket_bytes)) for k in (1, 7)]
+    """Input and exchange may be partitioned in any way, with many equal rows, too: every row keeps its place."""
+    data = [(i, "word " * (i % 40), "x", 1) for i in range(200)] + [(None, None, None, None)] * 3 + [(7, "", "y", 2), (None, "é", "z", 3)] + [(500, "same", "s", 4)] * 300 + [(500, "same", "s", None)] * 90
+    data += [(9, "long " * 5000, "l", 5)]
+    got = [rows(shuffle_into_shards(spark.createDataFrame(data, SCHEMA).repartition(k), str(tmp_path / str(k)), shards=5, bucket_bytes=bucket_bytes, partitions=p)) for k, p in ((1, 10**6), (7, 4))]
     for g in got:
         assert sorted(map(str, ((a, b) for a, b, _, _ in g))) == sorted(map(str, ((a, b) for a, b, _, _ in data)))
         n = [sum(x[2] == s for x in g) for s in range(5)]
         assert max(n) - min(n) <= 1 and all(sorted(x[3] for x in g if x[2] == s) == list(range(n[s])) for s in range(5))
-    if bucket_bytes > 200:  # no salt there
-        assert sorted(map(str, got[0])) == sorted(map(str, got[1]))
+    assert sorted(map(str, got[0])) == sorted(map(str, got[1]))
+
+
+def test_equal_rows_are_spread(spark, tmp_path):
+    """Copies that overfill a bucket don't stay side by side, and the place of all other rows in their order stays as it is."""
+    single = [(i, f"t{i}", "x", 1) for i in range(400)]
+    orders = []
+    for k, data in enumerate((single, single + [(-1, "copy", "x", 1)] * 600)):
+        found = sorted(rows(shuffle_into_shards(spark.createDataFrame(data, SCHEMA), str(tmp_path / str(k)), shards=1, bucket_bytes=10**9 if k == 0 else 300)), key=lambda r: r[3])
+        orders.append([r[0] for r in found])
+    at = [k for k, i in enumerate(orders[1]) if i == -1]
+    assert len(at) == 600 and max(b - a for a, b in zip(at, at[1:])) < 100 and at[0] < 200 and at[-1] > 800
+    assert sorted(i for i in orders[1] if i >= 0) == sorted(orders[0])
 
 
 def test_empty(spark, tmp_path):
