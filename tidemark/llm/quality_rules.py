@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import q, table, unused, without, written
+from tidemark.llm.common import q, stays, table, unused, without, written
 
 #: Hash bins of the n-grams.
 BINS = 1 << 16
@@ -28,15 +28,6 @@ WINDOW = 8
 SPACE = "[ \\t-\\r]+"
 
 
-def stays() -> Column:
-    """Always true, but not to the optimiser, which so leaves a column computed once.
-
-    Else a filter on a result is moved below the projections, with the whole expressions of columns that a lambda refers to
-    put into the lambda, to be computed again for every element.
-    """
-    return F.monotonically_increasing_id() >= 0
-
-
 def words_of(text: Column) -> Column:
     """Array of the runs of anything but ASCII white space in a whole text (null: none)."""
     parts = F.split(F.coalesce(text, F.lit("")), SPACE)
