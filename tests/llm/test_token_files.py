@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -50,8 +51,9 @@ def test_file(tmp_path):
     r = random.Random(8)
     docs = [(i if i % 7 else None, [r.getrandbits(r.choice((4, 16, 62))) for _ in range(r.choice((0, 1, 50, 3000)))]) for i in range(80)] + [(99, list(range(900_000)))]
     w = Writer(f"{tmp_path}/deep/x.s8b")
-    for i, ids in docs:
-        w.add(i, np.array(ids, np.uint64))
+    for lo in range(0, len(docs), 9):
+        part = docs[lo : lo + 9]
+        w.add([i for i, _ in part], np.concatenate([np.array(x, np.uint64) for _, x in part]), np.cumsum([len(x) for _, x in part]))
     w.close()
     got = [(i, s, x.tolist()) for i, s, x in read_file(f"{tmp_path}/deep/x.s8b")]
     assert [(i, x) for i, _, x in got] == docs
@@ -61,9 +63,31 @@ def test_file(tmp_path):
 TEXTS = [None, "", " ", "\n", "a", "It's we'll  go", "a\n\nb", " lead", "trail ", "x\ty", "a\x1cb c", "one two\nthree, four.\nFive", "<|endoftext|> x", "é 中文 \U0001f600 d'été", "a\xa0b   c", "word " * 30000, "n1 22 333\n4"]
 
 
+def encoded(texts):
+    ids, ends = encoder(PATH).encode(pa.array(texts, pa.string()))
+    return [x.tolist() for x in np.split(ids, ends)[:-1]]
+
+
+def plainly(library, texts):
+    return [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("text", TEXTS)
 def test_encoder(library, text):
-    assert np.frombuffer(encoder(PATH).encode([text, "b c"])[0], "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids
+    assert encoded([text, "b c"]) == plainly(library, [text, "b c"])
+
+
+def test_encoder_on_random_texts(library, monkeypatch):
+    """Words, signs, letters of many scripts, every kind of white space and runs of it, at any place; and memories that overflow."""
+    r = random.Random(9)
+    space = [" "] * 12 + ["  ", "\n", " \n", "\t", "\r\n", "\xa0", "\u2003", "\u3000", "\x85", "\x1c", "\x1f", "\u200b", "   "]
+    parts = ["word", "Word", "don't", "we'll", "'s", "'", ".", ",", "!?", "(x)", "x)", "12", "\u00b2", "\u2167", "\u00bd", "a1", "1a", "é", "ß", "中文", "\U0001f600", "\u0301", "e\u0301", "ÿ", "\ufeff", "\x00", "<|endoftext|>", "<|", "Σας", "ات", "ก็", "\u02b0", "ª"]
+    texts = ["".join(r.choice(parts) + (r.choice(space) if r.random() < 0.8 else "") for _ in range(r.randrange(14))) for _ in range(4000)]
+    texts += [r.choice(space) + t + r.choice(space) for t in texts[:1500]] + [None, ""]
+    want = plainly(library, texts)
+    assert encoded(texts) == want
+    monkeypatch.setattr(type(encoder(PATH)), "REMEMBERED", 40)
+    assert [x for lo in range(0, len(texts), 50) for x in encoded(texts[lo : lo + 50])] == want
 
 
 def want(docs, library):

@@ -16,12 +16,14 @@ All numbers are unsigned 64-bit little-endian (document ids signed). Any block c
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyarrow import fs as pafs
 from pyspark import TaskContext
@@ -29,8 +31,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.bpe import vocabulary_path
-from tidemark.llm.common import q, scratch_path, table
+from tidemark.llm.bpe import byte_letters, vocabulary_path
+from tidemark.llm.common import arrow_batches, q, remove, scratch_path, table, written
 
 MAGIC = b"TDM-S8B1"
 BLOCK = 256
@@ -131,12 +133,14 @@ class Writer:
         self.out = fs.open_output_stream(at)
         self.out.write(MAGIC)
         self.held, self.n_held, self.offsets, self.words, self.escapes = [], 0, [], 0, []
-        self.ids, self.ends, self.n = [], [], 0
+        self.ids, self.here, self.ends, self.n = array("q"), bytearray(), array("Q"), 0  # 17 bytes a document
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.ids.append(doc_id)
+    def add(self, doc_ids: list[int | None], ids: np.ndarray, ends: np.ndarray) -> None:
+        """Documents in order: the ids of all, and the end of each one's."""
+        self.ids.extend([x or 0 for x in doc_ids])
+        self.here.extend([x is not None for x in doc_ids])
+        self.ends.extend((ends + self.n).tolist())
         self.n += len(ids)
-        self.ends.append(self.n)
         self.held.append(ids)
         self.n_held += len(ids)
         if self.n_held >= self.PART:
@@ -157,8 +161,7 @@ class Writer:
     def close(self) -> None:
         self.flush(self.n_held)
         offsets = np.concatenate([*self.offsets, [self.words]]).astype("<u8")
-        here = np.array([x is not None for x in self.ids], np.uint8)
-        for part in (offsets, np.array(self.escapes, "<u8"), np.array([x or 0 for x in self.ids], "<i8"), here, np.array(self.ends, "<u8"), np.array([len(offsets) - 1, len(self.escapes), len(self.ids), self.n, BLOCK], "<u8")):
+        for part in (offsets, np.array(self.escapes, "<u8"), np.array(self.ids, "<i8"), np.array(self.here, np.uint8), np.array(self.ends, "<u8"), np.array([len(offsets) - 1, len(self.escapes), len(self.ids), self.n, BLOCK], "<u8")):
             self.out.write(part.tobytes())
         self.out.write(MAGIC)
         self.out.close()
@@ -194,41 +197,164 @@ def read_file(path: str) -> Iterator[tuple[int | None, int, np.ndarray]]:
                 held, base = held[start - base :], start
 
 
+def taken(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs flat[start:start + size], one after the other."""
+    ends = np.cumsum(size)
+    return flat[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Encoder:
-    """The tokenizers library's ids of whole texts, as little-endian 32-bit words.
+    """The tokenizers library's ids of whole texts.
 
-    The vocabulary's own rule cuts a text into pieces that are encoded each on its own, so a text is put together from
-    pieces that the library has encoded before in this process, and it is asked for new ones only. Texts with a special token's
-    string go to the library whole.
+    The vocabulary's own rule cuts a text into pieces that are encoded each on its own, and it always cuts before a single space
+    between two characters that aren't white space. So a text is put together from the ids of its words, remembered in
+    this process; of new words the library encodes the pieces, some hundred words in one call. Texts with a special token's
+    string go to the library whole. Words and ids are kept as arrays, not as Python's objects.
     """
 
-    REMEMBERED = 1_000_000
+    #: Words that are remembered before it starts afresh, and words of one call.
+    REMEMBERED, AT_ONCE = 600_000, 256
+    #: Signs that are a piece of their own after letters.
+    SIGNS = ".,;:!?)"
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        from tokenizers import Regex, Tokenizer, pre_tokenizers
+
+        self.library, self.marked = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for x in (self.library, self.marked):
+            x.no_truncation()
+            x.no_padding()
+        # Pieces given as their bytes' letters; two bytes that UTF-8 never has end a piece and a word.
+        letters = byte_letters()
+        self.letters = np.array([ord(letters[b]) for b in range(256)], "<u4")
+        self.piece_end, self.word_end = (self.library.token_to_id(letters[b]) for b in (0xFE, 0xFF))
+        self.marked.pre_tokenizer = pre_tokenizers.Split(Regex(f"[{letters[0xFE]}{letters[0xFF]}]"), "isolated")
         # The rule by which byte-level vocabularies of this kind cut texts into pieces (a fixed value), white space spelled out.
         space = r"\t-\r \x85\p{Z}"
         self.cut = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{space}\p{{L}}\p{{N}}]+|[{space}]+(?![^{space}])|[{space}]+").findall
-        self.pieces: dict[str, bytes] = {}
-
-    def _ask(self, texts: list[str]) -> list[bytes]:
-        return [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [None if t and "<|" in t else self.cut(t) if t else [] for t in texts]
-        wanted = set().union(*[x for x in cut if x])
-        new = [x for x in wanted if x not in self.pieces]
-        if len(self.pieces) + len(new) > self.REMEMBERED:
-            self.pieces.clear()
-            new = list(wanted)
-        self.pieces.update(zip(new, self._ask(new)))
-        get = self.pieces.__getitem__
-        whole = iter(self._ask([t for t, x in zip(texts, cut) if x is None]))
-        return [next(whole) if x is None else b"".join(map(get, x)) for x in cut]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words = pa.array([], pa.large_string())
+        self.flat, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _from_letters(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of each) of words given as bytes with both marks; ends: where each word's bytes end."""
+        cuts = [0, *ends[self.AT_ONCE - 1 :: self.AT_ONCE].tolist()]
+        if len(ends) and cuts[-1] != ends[-1]:
+            cuts.append(int(ends[-1]))
+        found = [np.zeros(0, np.uint32)]
+        for lo in range(0, len(cuts) - 1, 32):  # what the library holds of a call is many times its ids
+            lines = [self.letters[data[a:b]].tobytes().decode("utf-32-le") for a, b in itertools.pairwise(cuts[lo : lo + 33])]
+            found += [np.array(x.ids, np.uint32) for x in self.marked.encode_batch_fast(lines, add_special_tokens=False)]
+        ids = np.concatenate(found)
+        ids = ids[ids != self.piece_end]
+        stops = np.flatnonzero(ids == self.word_end)
+        return ids[ids != self.word_end], np.diff(stops, prepend=-1) - 1
+
+    def _pieced(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of each) of any texts, cut by the rule; each distinct piece is encoded once."""
+        cut = list(map(self.cut, texts))
+        number = {p: k for k, p in enumerate(dict.fromkeys(p for x in cut for p in x))}
+        coded = [p.encode() + b"\xff" for p in number]
+        ids, size = self._from_letters(np.frombuffer(b"".join(coded), np.uint8), np.cumsum([len(x) for x in coded], dtype=np.int64))
+        at = np.fromiter((number[p] for x in cut for p in x), np.int64)
+        parts = np.cumsum([0, *map(len, cut)])
+        sums = np.concatenate(([0], np.cumsum(size[at])))
+        return taken(ids, (np.cumsum(size) - size)[at], size[at]), np.diff(sums[parts])
+
+    def _asked(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, number of each) of words, each with the space before it.
+
+        Letters are one piece, and a last sign another; other words are cut by the rule.
+        """
+        letters = pc.utf8_is_alpha(new).to_numpy(zero_copy_only=False)
+        stopped = pc.is_in(pc.utf8_slice_codeunits(new, -1), value_set=pa.array(list(self.SIGNS), pa.large_string())).to_numpy(zero_copy_only=False)
+        stopped &= pc.utf8_is_alpha(pc.utf8_slice_codeunits(new, 0, -1)).to_numpy(zero_copy_only=False)
+        plain = letters | stopped
+        own = new.filter(pa.array(plain))
+        if isinstance(own, pa.ChunkedArray):
+            own = own.combine_chunks()
+        size, sign = pc.binary_length(own).to_numpy().astype(np.int64), stopped[plain]
+        ends = np.cumsum(size + 2 + sign)
+        data = np.full(ends[-1] if len(ends) else 0, 0xFF, np.uint8)
+        first = ends - size - 2 - sign
+        data[first] = 0x20
+        offsets = np.frombuffer(own.buffers()[1], np.int64)[own.offset : own.offset + len(own) + 1]
+        source = np.frombuffer(own.buffers()[2], np.uint8) if own.buffers()[2] else np.zeros(0, np.uint8)
+        data[np.repeat(first + 1 - offsets[:-1] + offsets[0], size) + np.arange(size.sum())] = source[offsets[0] : offsets[-1]]
+        data[ends[sign] - 2] = source[offsets[1:][sign] - 1]
+        data[ends[sign] - 3] = 0xFE
+        ids, n = self._from_letters(data, ends)
+        other_ids, other = self._pieced([" " + x for x in new.filter(pa.array(~plain)).to_pylist()])
+        count = np.zeros(len(new), np.int64)
+        start = np.zeros(len(new), np.int64)
+        count[plain], count[~plain] = n, other
+        start[plain], start[~plain] = np.cumsum(n) - n, len(ids) + np.cumsum(other) - other
+        return np.concatenate((ids, other_ids)), start, count
+
+    def _rows(self, found: pa.Array) -> np.ndarray:
+        """Where the words are kept; new ones are added."""
+        at = pc.index_in(found, value_set=self.words)
+        new = found.filter(pc.is_null(at))
+        if len(self.words) + len(new) > self.REMEMBERED:
+            self._forget()
+            at, new = pa.nulls(len(found), pa.int32()), found
+        ids, start, size = self._asked(new)
+        row = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        row[row < 0] = len(self.words) + np.arange(len(new))
+        self.words = pa.concat_arrays([self.words, new])
+        self.start, self.size = np.concatenate((self.start, start + len(self.flat))), np.concatenate((self.size, size))
+        self.flat = np.concatenate((self.flat, ids))
+        return row
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, end of each text's); a null text has none.
+
+        Texts are split at spaces, and each distinct word's ids are looked up once and then taken for all its places. A text whose
+        spaces aren't all single ones between characters that aren't white space is one word.
+        """
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        lists = pc.split_pattern(texts, " ")
+        cut = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        found, at, heads = coded.dictionary, coded.indices.to_numpy(), cut[:-1]
+        edged = pc.or_(pc.equal(found, ""), pc.or_(pc.utf8_is_space(pc.utf8_slice_codeunits(found, 0, 1)), pc.utf8_is_space(pc.utf8_slice_codeunits(found, -1)))).to_numpy(zero_copy_only=False)
+        special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+        odd = special | np.logical_or.reduceat(edged[at], heads)
+        row = np.zeros(len(found), np.int64)
+        row[~edged] = self._rows(found.filter(pa.array(~edged)))
+        # Beside words: those that begin a text, whole texts, and nothing, which stands for the words of whole texts.
+        first = np.unique(at[heads[~odd]])
+        ids, size = self._pieced([*found.take(pa.array(first)).to_pylist(), *texts.filter(pa.array(odd & ~special)).to_pylist()])
+        whole = [np.array(x.ids, np.uint32) for x in self.library.encode_batch_fast(texts.filter(pa.array(special)).to_pylist(), add_special_tokens=False)]
+        size = np.concatenate((size, [len(x) for x in whole], [0])).astype(np.int64)
+        flat = np.concatenate((self.flat, ids, *whole))
+        start, size = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size)), np.concatenate((self.size, size))
+        kept = len(self.start)
+        place = row[at]
+        place[heads[~odd]] = kept + np.searchsorted(first, at[heads[~odd]])
+        if odd.any():
+            place[np.repeat(odd, np.diff(cut))] = len(size) - 1
+            place[heads[odd & ~special]] = kept + len(first) + np.arange((odd & ~special).sum())
+            place[heads[special]] = kept + len(first) + (odd & ~special).sum() + np.arange(special.sum())
+        size = size[place]
+        return taken(flat, start[place], size), np.cumsum(size)[cut[1:] - 1]
+
+
+#: Bytes of text that are encoded at once (one text at least).
+BATCH_BYTES = 4 << 20
+
+
+def sliced(batch: pa.RecordBatch, at: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of a batch's rows of about so many bytes in the given column."""
+    bytes_ = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(bytes_, dtype=np.int64) // size
+    bounds = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    for lo, hi in zip(bounds, bounds[1:]):
+        yield batch.slice(lo, hi - lo)
 
 
 @functools.lru_cache(2)
@@ -236,6 +362,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+#: Bytes of text that a file holds on average.
+FILE_BYTES = 256 << 20
+
 MANIFEST = "part int, file string, n_docs long, n_ids long"
 
 
@@ -245,29 +374,34 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, *, end_id: in
     Null ids come first; rows of one id are ordered by a hash of the text, and rows equal in both are interchangeable. The order is
     made by range partitioning on both, so a hot id is spread over files. Null and empty texts have the end id only. An
     empty table gives an empty manifest. A task writes one file, named by its attempt, as a stream; only files of
-    tasks that succeeded are in the manifest (`path/manifest`, Parquet), so a lost executor's leftovers are never read.
+    tasks that succeeded are in the manifest (`path/manifest`, Parquet), so a lost executor's leftovers are never read. There are as many
+    files as the texts' bytes ask for (FILE_BYTES each, two a core at least), or `files`. A very long text is encoded at once by one
+    task. Other columns of the input, whatever their names, aren't read.
     """
     spark = docs.sparkSession
     slim = docs.select(q(id_col).cast("long").alias("id"), q(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not files:
+        size = slim.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        files = max(2 * spark.sparkContext.defaultParallelism, -(-size // FILE_BYTES))
     ordered = slim.repartitionByRange(files, F.col("id").asc_nulls_first(), "tie").sortWithinPartitions(F.col("id").asc_nulls_first(), "tie")
     target = f"{path}/ids"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, task, w = encoder(vocabulary), TaskContext.get(), None
         name = f"part-{task.partitionId():05d}-{task.taskAttemptId()}.s8b"
-        end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
+            for part in sliced(batch, 1, BATCH_BYTES):
                 w = w or Writer(f"{target}/{name}")
-                for i, x in zip(part.column(0).to_pylist(), e.encode(part.column(1).to_pylist())):
-                    w.add(i, np.frombuffer(x + end, "<u4"))
+                ids, ends = e.encode(part.column(1))
+                if end_id is not None:
+                    ids, ends = np.insert(ids, ends, end_id), ends + 1 + np.arange(len(ends))
+                w.add(part.column(0).to_pylist(), ids, ends)
         if w:
             w.close()
             yield pa.RecordBatch.from_pylist([{"part": task.partitionId(), "file": name, "n_docs": len(w.ids), "n_ids": w.n}], schema=pa.schema([("part", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
-    ordered.mapInArrow(write, MANIFEST).write.parquet(f"{path}/manifest")
+    with arrow_batches(spark):
+        ordered.mapInArrow(write, MANIFEST).write.parquet(f"{path}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
 
 
@@ -314,4 +448,6 @@ def op9_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, length and checksum of each document's ids, read back from the files written for all documents."""
     path = scratch_path(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, vocabulary_path("byte_bpe_50k.json"), end_id=2)
-    return read_token_files(spark, path, digest=True)
+    out, _ = written(read_token_files(spark, path, digest=True), "token-digests")
+    remove(spark, path)
+    return out
