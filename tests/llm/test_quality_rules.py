@@ -4,7 +4,7 @@ import re
 import pytest
 import xxhash
 
-from tidemark.llm.quality_rules import BINS, SMOOTHING, THRESHOLD, assess, op10_likelihood_ratio, trusted_ids
+from tidemark.llm.quality_rules import BINS, PSEUDO, SMOOTHING, THRESHOLD, assess, op10_likelihood_ratio, trusted_ids
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -27,13 +27,13 @@ def signed(x):
     return x - 2**64 if x >= 2**63 else x
 
 
-def bins(text, n):
-    return [signed(spark_hash(0, w[:3])) % n for w in words(text)] + [signed(spark_hash(1, w[-3:])) % n for w in words(text)]
+def long_hash(x, seed):
+    return xxhash.xxh64_intdigest(x.to_bytes(8, "little"), seed)
 
 
-def spark_hash(edge, x):
-    """xxhash64 of an int and a string: the int's hash (seed 42) is the string's seed."""
-    return xxhash.xxh64_intdigest(x.encode(), xxhash.xxh64_intdigest(edge.to_bytes(4, "little"), 42))
+def bins(text, n):
+    h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words(text)]
+    return [signed(x) % n for x in h] + [signed(long_hash(y, long_hash(x, 42))) % n for x, y in zip(h, h[1:])]
 
 
 def plain(docs, good, n=BINS):
@@ -43,7 +43,7 @@ def plain(docs, good, n=BINS):
             raw[b] += 1
             target[b] += i in good
     r, g = sum(raw), sum(target)
-    ratio = [math.log((1 - SMOOTHING) * y * r / (g * x) + SMOOTHING) if g and x else 0.0 for x, y in zip(raw, target)]
+    ratio = [math.log((1 - SMOOTHING) * (y + PSEUDO) / (x * g / r + PSEUDO) + SMOOTHING) if g and x else 0.0 for x, y in zip(raw, target)]
     out = []
     for i, t in docs:
         base, b = plain_base(t), bins(t, n)
@@ -75,4 +75,14 @@ def test_edges(spark, labels):
     got = assess(docs, good)
     assert got.columns.count("kept") == 1 and "target" in got.columns
     same([(r.doc_id, *(r[c] for c in COUNTS), r.base_failed, r.kept, r.llr) for r in got.collect()], plain(data, {1} if labels else set()))
+    assert [tuple(r) for r in assess(docs, good, max_broadcast=0).orderBy("doc_id", "text").collect()] == [tuple(r) for r in got.orderBy("doc_id", "text").collect()]
     assert assess(docs.where("false"), good).collect() == []
+
+
+def test_labelled_documents(spark):
+    """At two sizes, what labels call good stays, and what they call bad (and the base rules let pass) mostly goes."""
+    for name, caught in (("sf0.01", 0.85), ("sf0.1", 0.93)):
+        labels = {r.doc_id: r for r in spark.read.parquet(f"/root/testdata/{name}/labels.parquet").collect()}
+        out = [r for r in op10_likelihood_ratio(spark, f"/root/testdata/{name}").collect() if r.doc_id in labels and not r.base_failed]
+        good, bad = ([r.kept for r in out if labels[r.doc_id].quality == x and not (x and labels[r.doc_id].toxic)] for x in (1, 0))
+        assert sum(good) >= 0.99 * len(good) and sum(bad) <= (1 - caught) * len(bad), (name, sum(good) / len(good), sum(bad) / len(bad))
