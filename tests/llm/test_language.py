@@ -1,48 +1,72 @@
 import math
+import random
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from tidemark.llm.language import FOLD, ContextTrees, codes, identify, op6_ppm_language, symbols, train
+from tidemark.llm.language import ORDER, Lookup, identify, op6_ppm_language, train
 
 
-def plain_probability(history, s, counts):
-    """PPM, method C with exclusion, by its definition. counts: {context tuple: Counter of symbols}."""
-    left = {c: 1 / 64 for c in range(64)}
-    for order in range(4):
-        seen = counts.get(tuple(history[3 - order :]), Counter())
-        total, kinds = sum(seen.values()), len(seen)
-        if not total:
+def plain_tree(texts, least):
+    """{context: Counter of bytes} of the contexts that hold `least` bytes or more."""
+    counts = {}
+    for t in texts:
+        data = b" " * ORDER + t.encode()
+        for i in range(ORDER, len(data)):
+            for order in range(ORDER + 1):
+                counts.setdefault(data[i - order : i], Counter())[data[i]] += 1
+    return {c: x for c, x in counts.items() if sum(x.values()) >= least}
+
+
+def plain_bits(history, s, tree):
+    """PPM, method C with exclusion, by its definition."""
+    bits, out = 0.0, set()
+    for order in range(ORDER, -1, -1):
+        context = history[len(history) - order :]
+        left = {t: n for t, n in tree.get(context, {}).items() if t not in out}
+        if not left:
             continue
-        rest = {c: 0 if seen[c] else p for c, p in left.items()}
-        mass = sum(rest.values())
-        escape = kinds / (total + kinds) if mass else 0
-        left = {c: seen[c] / total * (1 - escape) if seen[c] else escape * rest[c] / mass for c in range(64)}
-    return left[s]
+        total, kinds = sum(left.values()), len(left)
+        if s in left:
+            return bits + math.log2((total + kinds) / left[s])
+        bits += math.log2((total + kinds) / kinds)
+        out |= set(left)
+    return bits + math.log2(256 - len(out))
+
+
+def test_lookup():
+    codes = np.unique(np.random.default_rng(1).integers(0, 2**48, 5000).astype(np.uint64))
+    found = Lookup(codes)
+    assert (found(codes) == np.arange(len(codes))).all() and (found(codes + np.uint64(2**50)) == -1).all()
+    assert (Lookup(codes[:0])(codes) == -1).all()
 
 
-def test_code_lengths():
-    texts = {"a": ["the thing that they thought", "then"], "b": ["Él está aquí", "¿qué más?", "x1'y"]}
-    trees = ContextTrees(list(texts), [np.unique(np.concatenate([codes(symbols(t)).astype(np.int64) for t in v]), return_counts=True) for v in texts.values()])
+@pytest.mark.parametrize("min_share", [0.0, 0.004, 0.05])
+def test_code_lengths(spark, min_share):
+    r = random.Random(6)
+    texts = {
+        "a": ["the thing that they thought", "then", "the then the then"] + ["".join(r.choice("then tha") for _ in range(300))],
+        "b": ["Él está aquí", "¿qué más?", "x1'y"] + ["".join(r.choice("qué está") for _ in range(200))],
+        "c": ["中文字符中文", "हिन्दी हिन्दी भाषा"],
+    }
+    trees = train(spark.createDataFrame([(t, k) for k, v in texts.items() for t in v], "text string, lang string"), min_share=min_share)
+    assert trees.languages == list(texts)
+    probes = [t for v in texts.values() for t in v] + ["they", "que está", "\x00zz9", "ß", "", "中", "हिन्", "".join(r.choice("thenqué 中") for _ in range(400))]
+    got = trees.of_texts([t.encode() for t in probes])
     for k, v in enumerate(texts.values()):
-        counts = {}
-        for t in v:
-            s = symbols(t).tolist()
-            for i in range(3, len(s)):
-                for order in range(4):
-                    counts.setdefault(tuple(s[i - order : i]), Counter())[s[i]] += 1
-        for probe in ("they", "que está", "\x00zz9", "ß"):
-            s = symbols(probe).tolist()
-            want = sum(-math.log2(plain_probability(s[i - 3 : i], s[i], counts)) for i in range(3, len(s)))
-            assert math.isclose(trees.lengths(symbols(probe))[k], want, rel_tol=1e-5)
-    rows = np.exp2(-trees.bits.reshape(-1, 64, 2)).sum(axis=1)
-    assert np.allclose(rows, 1, atol=1e-4)
+        tree = plain_tree(v, min_share * len(texts) * sum(len(t.encode()) for t in v))
+        for t, bits in zip(probes, got[:, k]):
+            data = b" " * ORDER + t.encode()
+            assert math.isclose(bits, sum(plain_bits(data[i - ORDER : i], data[i], tree) for i in range(ORDER, len(data))), rel_tol=1e-5, abs_tol=1e-3), (k, t)
 
 
-def test_folding():
-    assert FOLD.max() == 63 and (FOLD[65:91] == FOLD[97:123]).all() and FOLD[0xC9] == FOLD[0xE9]
+def test_lengths_are_probabilities(spark):
+    trees = train(spark.createDataFrame([("the thing that they thought", "a"), ("der Hund", "b")], "text string, lang string"))
+    for context in (b"thing", b"the t", b"zzzzz", b" Hund"):
+        code = np.array([int.from_bytes(context + bytes([s])) for s in range(256)], np.uint64)
+        assert np.allclose(np.exp2(-trees.lengths(code)).sum(axis=0), 1, atol=1e-4)
 
 
 def test_whole_table(spark, sf):
@@ -50,8 +74,19 @@ def test_whole_table(spark, sf):
     got = op6_ppm_language(spark, sf).collect()
     assert sorted(r.doc_id for r in got) == sorted(docs)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in got)
+    # Every prediction and score again, by the definition.
+    tree = {}
+    for k in sorted({d.lang for d in docs.values()}):
+        own = [d.text for d in docs.values() if d.lang == k and zlib.crc32(str(d.doc_id).encode()) % 4 != 2]
+        tree[k] = plain_tree(own, 0)  # at this size all contexts are in the trees
+    for r in [r for r in got if len(docs[r.doc_id].text) < 2500][:60]:
+        data = b" " * ORDER + docs[r.doc_id].text.encode()
+        bits = {k: sum(plain_bits(data[i - ORDER : i], data[i], t) for i in range(ORDER, len(data))) for k, t in tree.items()}
+        best = min(bits, key=bits.get)
+        if any(map(str.isalpha, docs[r.doc_id].text)):
+            assert r.lang_pred == best and math.isclose(r.score, 1 / sum(2 ** max(bits[best] - x, -1000) for x in bits.values()), abs_tol=1e-3)
     held = [r for r in got if r.held_out]
-    assert sum(r.lang_pred == docs[r.doc_id].lang for r in held) >= 0.95 * len(held)
+    assert sum(r.lang_pred == docs[r.doc_id].lang for r in held) >= 0.98 * len(held)
 
 
 def test_edges(spark):
@@ -72,4 +107,4 @@ def test_edges(spark):
 def test_partitions_do_not_matter(spark, sf, parts):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(40)
     a, b = train(docs), train(docs.repartition(parts))
-    assert a.languages == b.languages and (a.bits == b.bits).all()
+    assert a.languages == b.languages and all((x == y).all() for x, y in zip(a.bits, b.bits))

@@ -1,13 +1,16 @@
-"""Language identification by prediction by partial matching (PPM).
+"""Language identification by prediction by partial matching (PPM) over bytes.
 
-Each language has a context tree of orders 0 to 3 over folded bytes, counted from all training texts by grouped
-aggregation. With the counts frozen, a symbol's code length in a context is that of PPM, method C: if the context has the
-symbol, its share of the context's counts plus distinct symbols; else the escape's share, times what the next shorter
-context gives among the symbols not excluded. A text's code length under a language is the exact sum over all its
-symbols; the shortest wins, and the score is that language's posterior under equal priors.
+Each language has a context tree of variable order, 5 to 0 bytes, counted from all training texts by grouped aggregation. A context is
+in the tree if it holds at least a fixed share of the language's bytes, so a frequent stretch has long contexts, which cover several
+letters of any script, a rare one short ones, and the trees have a bounded size at any size of the corpus.
 
-Bytes are folded to 64 symbols by a fixed rule (letters without case; bytes from 0x80 by their low five bits, which
-also folds the case of Latin-1 letters), so the trees are of bounded size, whatever the corpus.
+With the counts frozen, a byte's code length in a context is exactly that of PPM, method C, with exclusion: if the context
+has the byte, its share of the context's counts plus distinct bytes; else the escape's share and what the next shorter context gives,
+there without the bytes that the longer one has. A text's code length under a language is the sum over all its
+bytes; the shortest wins, and the score is that language's posterior under equal priors.
+
+What a shorter context gives after an escape depends on the escaping context by two numbers only (whether the byte is there or not), so
+lengths are tables: of contexts with their bytes, and of contexts; a byte that no language has in a context goes one order down.
 """
 
 from __future__ import annotations
@@ -16,124 +19,245 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import q, table, without
+from tidemark.llm.common import q, remove, table, without, written
 
-SYMBOLS = 64
-ORDER = 3
+#: Bytes of the longest contexts.
+ORDER = 5
+#: Least share of a language's bytes that a context holds, times the number of languages: so all trees of an order have 1 / MIN_SHARE contexts at most.
+MIN_SHARE = 2e-6
 UNKNOWN = "und"
 #: Bytes scored or counted at once.
 PART = 1 << 20
+#: Bytes of texts that are taken from a batch together (one text at least).
+TOGETHER = 4 << 20
+
+
+def grams(data: np.ndarray) -> np.ndarray:
+    """Each byte with the ORDER bytes before it as one number, the byte lowest; data begins with ORDER bytes that only precede."""
+    n = len(data) - ORDER
+    out = np.zeros(n, np.uint64)
+    for k in range(ORDER + 1):
+        out <<= np.uint64(8)
+        out |= data[k : k + n]
+    return out
+
+
+def lowest(code: np.ndarray, n: int) -> np.ndarray:
+    """The last n bytes of each number."""
+    return code & np.uint64((1 << 8 * n) - 1)
+
+
+class Lookup:
+    """Places of distinct 64-bit numbers (none of them 2**64 - 1), by open addressing."""
+
+    EMPTY = np.uint64(2**64 - 1)
+
+    def __init__(self, codes: np.ndarray):
+        self.shift = np.uint64(64 - max(4, (2 * len(codes)).bit_length()))
+        size = 1 << (64 - int(self.shift))
+        self.keys, self.places = np.full(size, self.EMPTY), np.zeros(size, np.int32)
+        left, at = np.arange(len(codes)), self._at(codes)
+        while len(left):
+            free = self.keys[at] == self.EMPTY
+            self.places[at[free]] = left[free]
+            self.keys[at[free]] = codes[left[free]]  # of several, the last stays in both
+            more = (self.places[at] != left) | (self.keys[at] != codes[left])
+            left, at = left[more], (at[more] + 1) & (size - 1)
+
+    def _at(self, codes: np.ndarray) -> np.ndarray:
+        return (codes * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def __call__(self, codes: np.ndarray) -> np.ndarray:
+        """Place of each number, -1 for unknown ones."""
+        at, out = self._at(codes), np.full(len(codes), -1, np.int32)
+        key = self.keys[at]
+        hit = key == codes
+        out[hit] = self.places[at[hit]]
+        live = np.flatnonzero(~hit & (key != self.EMPTY))
+        at = at[live]
+        while len(live):
+            at = (at + 1) & (len(self.keys) - 1)
+            key = self.keys[at]
+            hit = key == codes[live]
+            out[live[hit]] = self.places[at[hit]]
+            more = ~hit & (key != self.EMPTY)
+            live, at = live[more], at[more]
+        return out
 
 
-def folding() -> np.ndarray:
-    """Symbol of each byte: 0 controls and others, 1 white space, 2 digits, 3 the apostrophe, 4 to 29 letters, 30 other signs, 32 to 63 bytes from 0x80."""
-    f = np.zeros(256, np.uint8)
-    f[33:127] = 30
-    f[[9, 10, 11, 12, 13, 32]] = 1
-    f[48:58] = 2
-    f[39] = 3
-    f[65:91] = f[97:123] = np.arange(4, 30)
-    f[128:] = 32 + (np.arange(128, 256) & 31)
-    return f
-
-
-FOLD = folding()
-
-
-def symbols(text: str) -> np.ndarray:
-    """Folded bytes of a text, behind three white-space symbols that every text begins with."""
-    return np.concatenate((np.ones(ORDER, np.uint8), FOLD[np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)]))
-
-
-def codes(s: np.ndarray) -> np.ndarray:
-    """Each symbol with the three before it as one number, the symbol lowest."""
-    s = s.astype(np.uint32)
-    return s[:-3] << np.uint32(18) | s[1:-2] << np.uint32(12) | s[2:-1] << np.uint32(6) | s[3:]
+class ContextTrees:
+    """Frozen code lengths of several languages: tables by order of contexts with a byte, and of contexts."""
+
+    def __init__(self, languages: list[str], counts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+        """counts, by order: language, number of context and byte, how often; of contexts in a language's tree all bytes, and with a context its shorter ones."""
+        self.languages, n = languages, len(languages)
+        self.grams, self.bits, self.seen, self.contexts, self.inside, self.outside = [], [], [], [], [], []
+        below = None
+        with np.errstate(divide="ignore", invalid="ignore"):
+            for order, (lang, code, times) in enumerate(counts):
+                codes, at = np.unique(code.astype(np.uint64), return_inverse=True)
+                c = np.zeros((len(codes), n))
+                c[at, lang] = times
+                contexts, of = np.unique(codes >> np.uint64(8), return_inverse=True)
+                total, kinds = np.zeros((len(contexts), n)), np.zeros((len(contexts), n))
+                np.add.at(total, of, c)
+                np.add.at(kinds, of, c > 0)
+                here = total > 0
+                whole = np.where(here, np.log2(total + kinds), 0)
+                escape = np.where(here, whole - np.log2(kinds), 0)
+                if below is None:  # the empty context; beyond it, all bytes that it hasn't are alike
+                    inside = outside = escape + np.where(kinds < 256, np.log2(256 - kinds), 0)
+                    shorter, known = np.zeros((len(codes), n)), np.zeros((len(codes), n), bool)
+                    shorter_of = outside[of]
+                else:
+                    gram, context, count, bits, sums, kind, log_whole, log_escape = below
+                    p = context(lowest(contexts, order - 1))
+                    lower = gram(lowest(codes, order))
+                    # Counts and kinds of the shorter context without the bytes that this one has.
+                    less = np.zeros((len(contexts), n))
+                    np.add.at(less, of, np.where(c > 0, count[lower], 0))
+                    rest, others = sums[p] - less, kind[p] - kinds
+                    found = np.where(others > 0, np.log2(rest + others), 0)
+                    inside = np.where(here, escape + found - log_whole[p], 0)
+                    outside = np.where(here, escape - log_escape[p] + np.where(others > 0, found - np.log2(others), 0), 0)
+                    shorter, known = bits[lower], count[lower] > 0
+                    shorter_of = np.where(known, inside[of], outside[of])
+                length = np.where(c > 0, whole[of] - np.log2(c), shorter + shorter_of)
+                below = Lookup(codes), Lookup(contexts), c, length, total, kinds, whole, escape
+                self.grams.append(below[0])
+                self.contexts.append(below[1])
+                self.bits.append(length.astype(np.float32))
+                for to, x in ((self.inside, inside), (self.outside, outside)):
+                    to.append(np.concatenate((x, np.zeros((1, n)))).astype(np.float32))  # the last row is that of no context
+                self.seen.append(c > 0)
+
+    def lengths(self, codes: np.ndarray) -> np.ndarray:
+        """Code length in bits of each byte with what precedes it, under each language."""
+        out = np.zeros((len(codes), len(self.languages)), np.float32)
+        live = np.arange(len(codes))
+        held = np.full(len(codes), -1, np.int32)  # the context one order up
+        for order in range(len(self.grams) - 1, -1, -1):
+            code = lowest(codes[live], order + 1)
+            place = self.grams[order](code)
+            hit = place >= 0
+            own = live[hit]
+            if order + 1 == len(self.grams):
+                out[own] = self.bits[order][place[hit]]
+            else:
+                up, at = held[hit], place[hit]
+                out[own] += self.bits[order][at] + np.where(self.seen[order][at], self.inside[order + 1][up], self.outside[order + 1][up])
+                out[live[~hit]] += self.outside[order + 1][held[~hit]]
+            live, code = live[~hit], code[~hit]
+            if not len(live):
+                return out
+            held = self.contexts[order](code >> np.uint64(8)) if order else np.zeros(len(live), np.int32)
+        out[live] += self.outside[0][0] if len(self.outside[0]) > 1 else 8.0
+        return out
+
+    def of_texts(self, texts: list[bytes]) -> np.ndarray:
+        """Code length of each whole text under each language."""
+        total = np.zeros((len(texts), len(self.languages)))
+        if not len(self.languages):
+            return total
+        data, ends = joined(texts)
+        whose = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) + ORDER for t in texts])
+        scored = np.ones(len(data), bool)
+        scored[(ends[:, None] + np.arange(ORDER)).ravel()] = False
+        for lo in range(0, len(data) - ORDER, PART):
+            part = data[lo : lo + PART + ORDER]
+            own = scored[lo + ORDER : lo + len(part)]
+            bits, of = self.lengths(grams(part)[own]), whose[lo + ORDER : lo + len(part)][own]
+            if len(of):
+                cuts = np.flatnonzero(np.diff(of, prepend=-1))
+                total[of[cuts]] += np.add.reduceat(bits, cuts, axis=0, dtype=np.float64)
+        return total
 
 
-class ContextTrees:
-    """Frozen code lengths of several languages, by context and symbol.
+def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All texts, each behind ORDER spaces, and where those begin."""
+    gap = b" " * ORDER
+    data = np.frombuffer(gap + gap.join(texts), np.uint8) if texts else np.zeros(0, np.uint8)
+    sizes = np.array([len(t) + ORDER for t in texts], np.int64)
+    return data, np.cumsum(sizes) - sizes
 
-    Contexts of order 3 that no language has seen share the row of their two last symbols, and so on down, so rows are as
-    many as distinct contexts that occur (64**3 at most).
-    """
 
-    def __init__(self, languages: list[str], counts: list[tuple[np.ndarray, np.ndarray]]):
-        """counts: for each language, codes (distinct) and how often each occurs."""
-        self.languages = languages
-        seen = np.zeros(SYMBOLS**3, bool)
-        for code, _ in counts:
-            seen[code >> 6] = True
-        contexts = np.flatnonzero(seen)
-        short = np.arange(SYMBOLS**2) + len(contexts)  # rows of the two last symbols
-        self.row = short[np.arange(SYMBOLS**3) & 4095].astype(np.int32)
-        self.row[contexts] = np.arange(len(contexts))
-        self.bits = np.zeros(((len(contexts) + SYMBOLS**2) * SYMBOLS, len(languages)), np.float32)
-        for k, (code, n) in enumerate(counts):
-            p = np.full((1, SYMBOLS), 1 / SYMBOLS)
-            for order in range(3):  # orders 0, 1, 2 over all contexts
-                p = blended(self._summed(code, n, order), p)
-            top = np.zeros((len(contexts), SYMBOLS))
-            at = self.row[code >> 6]
-            np.add.at(top, (at, code & 63), n)
-            p3 = mixed_in(top, p[contexts & 4095])
-            self.bits[:, k] = -np.log2(np.concatenate((p3, p)).ravel())
-
-    @staticmethod
-    def _summed(code: np.ndarray, n: np.ndarray, order: int) -> np.ndarray:
-        size = SYMBOLS ** (order + 1)
-        return np.bincount(code & (size - 1), weights=n, minlength=size).reshape(-1, SYMBOLS)
-
-    def lengths(self, s: np.ndarray) -> np.ndarray:
-        """Code length in bits of a text's symbols under each language."""
-        total = np.zeros(len(self.languages))
-        for lo in range(0, len(s) - ORDER, PART):
-            c = codes(s[lo : lo + PART + ORDER])
-            total += self.bits[self.row[c >> np.uint32(6)].astype(np.int64) * SYMBOLS + (c & np.uint32(63))].sum(axis=0, dtype=np.float64)
-        return total
+def sliced(batch: pa.RecordBatch, at: int, size: int = TOGETHER) -> Iterator[pa.RecordBatch]:
+    """Runs of a batch's rows of about so many bytes in the given column."""
+    run = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // size
+    bounds = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    for lo, hi in zip(bounds, bounds[1:]):
+        if hi > lo:
+            yield batch.slice(lo, hi - lo)
 
 
-def blended(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """Probabilities of an order from its counts and those of the order below; a context's shorter one is its number modulo theirs."""
-    return mixed_in(counts, lower[np.arange(len(counts)) % len(lower)])
+def coded(texts: pa.Array) -> list[bytes]:
+    return pc.fill_null(texts.cast(pa.large_string()), "").cast(pa.large_binary()).to_pylist()
 
 
-def mixed_in(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """PPM by method C with exclusion; a context never seen is its shorter one."""
-    total, kinds = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
-    rest = np.where(counts > 0, 0.0, lower)
-    left = rest.sum(axis=1, keepdims=True)
-    # With every symbol seen there is nothing to escape to.
-    escape = np.where(left > 0, kinds / np.maximum(total + kinds, 1), 0.0)
-    seen = counts / np.maximum(total, 1) * (1 - escape)
-    return np.where(total > 0, seen + escape * rest / np.where(left > 0, left, 1), lower)
+#: Distinct grams that a task holds before it hands them on.
+HELD = 1 << 21
 
 
 def count_contexts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, code, n): how often each symbol follows each three in all texts of each language; null texts or languages don't count."""
+    """(lang, code, n): how often each byte follows each ORDER others in all texts of each language; null texts or languages don't count."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+        def rows(lang: str) -> pa.RecordBatch:
+            code, n = held.pop(lang)
+            return pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(code), np.int64))), pa.array(code.astype(np.int64)), pa.array(n)], names=["lang", "code", "n"])
+
         for batch in batches:
-            by: dict[str, list[np.ndarray]] = {}
-            for t, lang in zip(batch.column(0), batch.column(1).to_pylist()):
-                by.setdefault(lang, []).append(codes(symbols(t.as_py())))
-            for lang, parts in by.items():
-                code, n = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(code)), pa.array(code.astype(np.int32)), pa.array(n.astype(np.int64))], names=["lang", "code", "n"])
+            for part in sliced(batch, 0):
+                langs = part.column(1).to_numpy(zero_copy_only=False)
+                for lang in sorted(set(langs.tolist())):
+                    texts = coded(part.column(0).filter(pa.array(langs == lang)))
+                    data, ends = joined(texts)
+                    own = np.ones(len(data), bool)
+                    own[(ends[:, None] + np.arange(ORDER)).ravel()] = False
+                    code, n = np.unique(grams(data)[own[ORDER:]], return_counts=True)
+                    if lang in held:
+                        code, at = np.unique(np.concatenate((held[lang][0], code)), return_inverse=True)
+                        n = np.bincount(at, weights=np.concatenate((held[lang][1], n))).astype(np.int64)
+                    held[lang] = code, n.astype(np.int64)
+                    if len(code) > HELD:
+                        yield rows(lang)
+        for lang in list(held):
+            yield rows(lang)
 
     rows = docs.select(q(text_col).alias("text"), q(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    return rows.mapInArrow(count, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, **columns) -> ContextTrees:
-    """Trees from all of docs. The driver gets the grouped counts: 64**4 a language at most, some hundred thousand in practice."""
-    rows = count_contexts(docs, **columns).toArrow().to_pandas().sort_values(["lang", "code"])
-    groups = [(k, g) for k, g in rows.groupby("lang", sort=True)]
-    return ContextTrees([k for k, _ in groups], [(g["code"].to_numpy().astype(np.int64), g["n"].to_numpy()) for _, g in groups])
+def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", min_share: float = MIN_SHARE) -> ContextTrees:
+    """Trees from all of docs. The driver gets the bytes of the contexts that are in the trees: 1 / min_share contexts an order at most, whatever the input.
+
+    Null texts and languages don't count, nor do empty texts. Repeated rows count each. A language whose name has any case or space is its own.
+    """
+    spark = docs.sparkSession
+    full, path = written(count_contexts(docs, text_col=text_col, lang_col=lang_col), "contexts")
+    sizes = {r.lang: r.n for r in full.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # one row a language
+    languages = sorted(sizes)
+    if not languages:
+        remove(spark, path)
+        return ContextTrees([], [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))] * (ORDER + 1))
+    least = spark.createDataFrame([(k, i, min_share * len(languages) * sizes[k]) for i, k in enumerate(languages)], "lang string, number int, least double")
+    marked = full.join(F.broadcast(least), "lang")  # one row a language
+    counts = []
+    for order in range(ORDER + 1):
+        rows = marked.groupBy("number", "least", F.col("code").bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1)).alias("gram")).agg(F.sum("n").alias("n"))
+        context = F.shiftright("gram", 8).alias("context")
+        kept = rows.groupBy("number", "least", context).agg(F.sum("n").alias("all")).where(F.col("all") >= F.col("least")).select("number", "context")
+        got = rows.select("number", "gram", "n", context).join(kept, ["number", "context"]).select("number", "gram", "n").toArrow()
+        counts.append(tuple(got[c].to_numpy() for c in ("number", "gram", "n")))
+    remove(spark, path)
+    return ContextTrees(languages, counts)
 
 
 def identify(docs: DataFrame, trees: ContextTrees, *, text_col: str = "text") -> DataFrame:
@@ -147,18 +271,17 @@ def identify(docs: DataFrame, trees: ContextTrees, *, text_col: str = "text") ->
     at, names = docs.columns.index(text_col), [*docs.columns, "lang_pred", "score"]
     sent = docs.sparkSession.sparkContext.broadcast(trees)
 
-    def answer(text: str | None, t: ContextTrees) -> tuple[str, float]:
-        if not text or not t.languages or not any(map(str.isalpha, text)):
-            return UNKNOWN, 0.0
-        bits = t.lengths(symbols(text))
-        best = int(bits.argmin())
-        return t.languages[best], float(1 / np.exp2(np.clip(bits[best] - bits, -1000, 0)).sum())
-
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = sent.value
-        for b in batches:
-            found = [answer(x.as_py(), t) for x in b.column(at)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=names)
+        for batch in batches:
+            for b in sliced(batch, at):
+                told = np.array([bool(t.languages) and x is not None and any(map(str.isalpha, x)) for x in b.column(at).to_pylist()], bool)
+                lang, p = np.full(b.num_rows, UNKNOWN, object), np.zeros(b.num_rows)
+                if told.any():
+                    bits = t.of_texts(coded(b.column(at).filter(pa.array(told))))
+                    lang[told] = np.array(t.languages, object)[bits.argmin(axis=1)]
+                    p[told] = 1 / np.exp2(np.clip(bits.min(axis=1, keepdims=True) - bits, -1000, 0)).sum(axis=1)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(p)], names=names)
 
     return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
