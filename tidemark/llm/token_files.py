@@ -197,10 +197,15 @@ def read_file(path: str) -> Iterator[tuple[int | None, int, np.ndarray]]:
                 held, base = held[start - base :], start
 
 
-def taken(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The runs flat[start:start + size], one after the other."""
-    ends = np.cumsum(size)
-    return flat[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+def taken(flat: np.ndarray, start: np.ndarray, size: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The runs flat[start[k] : start[k] + size[k]] for each k of at, one after the other."""
+    out = [np.zeros(0, flat.dtype)]
+    for lo in range(0, len(at), 1 << 18):  # its numbers are many times the ids
+        part = at[lo : lo + (1 << 18)]
+        n = size[part]
+        ends = np.cumsum(n)
+        out.append(flat[np.repeat(start[part] - ends + n, n) + np.arange(ends[-1])])
+    return np.concatenate(out)
 
 
 class Encoder:
@@ -213,7 +218,7 @@ class Encoder:
     """
 
     #: Words that are remembered before it starts afresh, and words of one call.
-    REMEMBERED, AT_ONCE = 600_000, 256
+    REMEMBERED, AT_ONCE = 800_000, 64
     #: Signs that are a piece of their own after letters.
     SIGNS = ".,;:!?)"
 
@@ -244,8 +249,8 @@ class Encoder:
         if len(ends) and cuts[-1] != ends[-1]:
             cuts.append(int(ends[-1]))
         found = [np.zeros(0, np.uint32)]
-        for lo in range(0, len(cuts) - 1, 32):  # what the library holds of a call is many times its ids
-            lines = [self.letters[data[a:b]].tobytes().decode("utf-32-le") for a, b in itertools.pairwise(cuts[lo : lo + 33])]
+        for lo in range(0, len(cuts) - 1, 128):  # what the library holds of a call is many times its ids
+            lines = [self.letters[data[a:b]].tobytes().decode("utf-32-le") for a, b in itertools.pairwise(cuts[lo : lo + 129])]
             found += [np.array(x.ids, np.uint32) for x in self.marked.encode_batch_fast(lines, add_special_tokens=False)]
         ids = np.concatenate(found)
         ids = ids[ids != self.piece_end]
@@ -261,7 +266,7 @@ class Encoder:
         at = np.fromiter((number[p] for x in cut for p in x), np.int64)
         parts = np.cumsum([0, *map(len, cut)])
         sums = np.concatenate(([0], np.cumsum(size[at])))
-        return taken(ids, (np.cumsum(size) - size)[at], size[at]), np.diff(sums[parts])
+        return taken(ids, np.cumsum(size) - size, size, at), np.diff(sums[parts])
 
     def _asked(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, start, number of each) of words, each with the space before it.
@@ -324,7 +329,7 @@ class Encoder:
         edged = pc.or_(pc.equal(found, ""), pc.or_(pc.utf8_is_space(pc.utf8_slice_codeunits(found, 0, 1)), pc.utf8_is_space(pc.utf8_slice_codeunits(found, -1)))).to_numpy(zero_copy_only=False)
         special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
         odd = special | np.logical_or.reduceat(edged[at], heads)
-        row = np.zeros(len(found), np.int64)
+        row = np.zeros(len(found), np.int32)
         row[~edged] = self._rows(found.filter(pa.array(~edged)))
         # Beside words: those that begin a text, whole texts, and nothing, which stands for the words of whole texts.
         first = np.unique(at[heads[~odd]])
@@ -340,12 +345,11 @@ class Encoder:
             place[np.repeat(odd, np.diff(cut))] = len(size) - 1
             place[heads[odd & ~special]] = kept + len(first) + np.arange((odd & ~special).sum())
             place[heads[special]] = kept + len(first) + (odd & ~special).sum() + np.arange(special.sum())
-        size = size[place]
-        return taken(flat, start[place], size), np.cumsum(size)[cut[1:] - 1]
+        return taken(flat, start, size, place), np.cumsum(size[place])[cut[1:] - 1]
 
 
 #: Bytes of text that are encoded at once (one text at least).
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 
 
 def sliced(batch: pa.RecordBatch, at: int, size: int) -> Iterator[pa.RecordBatch]:
@@ -396,11 +400,12 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, *, end_id: in
                 if end_id is not None:
                     ids, ends = np.insert(ids, ends, end_id), ends + 1 + np.arange(len(ends))
                 w.add(part.column(0).to_pylist(), ids, ends)
+                pa.default_memory_pool().release_unused()
         if w:
             w.close()
             yield pa.RecordBatch.from_pylist([{"part": task.partitionId(), "file": name, "n_docs": len(w.ids), "n_ids": w.n}], schema=pa.schema([("part", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
-    with arrow_batches(spark):
+    with arrow_batches(spark, BATCH_BYTES):
         ordered.mapInArrow(write, MANIFEST).write.parquet(f"{path}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
 
