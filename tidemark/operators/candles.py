@@ -38,8 +38,17 @@ def with_attributes(candles: DataFrame) -> DataFrame:
 
 
 def all_timeframes(minutes: DataFrame, timeframes: dict[str, int], base_minutes: int = 1) -> DataFrame:
-    """Complete candles of several timeframes in one table with its timeframe."""
-    return reduce(DataFrame.unionByName, [aggregate(minutes, m, base_minutes).withColumn("timeframe", F.lit(name)) for name, m in timeframes.items()])
+    """Complete candles of several timeframes in one table with its timeframe.
+
+    Each is made from the longest shorter one that fits into it: a bucket is complete exactly if the complete buckets in it are all there. So
+    the minutes are read and shuffled for the shortest only.
+    """
+    made = {base_minutes: minutes}
+    for m in sorted(set(timeframes.values())):
+        if m not in made:
+            part = max(k for k in made if m % k == 0)
+            made[m] = aggregate(made[part], m, part)
+    return reduce(DataFrame.unionByName, [made[m].select(*COLUMNS).withColumn("timeframe", F.lit(name)) for name, m in timeframes.items()])
 
 
 def candles(spark: SparkSession, sf_dir: str, timeframes: tuple[str, ...] = ("1h", "1d", "7d")) -> DataFrame:

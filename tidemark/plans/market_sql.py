@@ -27,7 +27,7 @@ def longer(source: str, minutes: int, parts: int) -> str:
 
 
 HOURS = bar("events", "event_type", "ts", "value", "1.0", "event_id % 2 = 0", "ts", 60)
-DAYS = bar("lineitem", "l_returnflag", "l_shipdate", "l_extendedprice", "l_quantity", "l_linenumber % 2 = 0", "(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)", 1440)
+DAYS = bar("lineitem", "l_returnflag", "l_shipdate", "l_extendedprice", "l_quantity", "l_linenumber % 2 = 0", "(l_orderkey::BIGINT * 8 + l_linenumber) * 1048576 + (l_partkey::BIGINT * 7919 + l_suppkey) % 1048576", 1440)
 CANDLES = f"""hours AS ({HOURS}), days AS ({DAYS}),
 bars AS (SELECT *, '1h' AS timeframe FROM hours UNION ALL SELECT *, '1d' FROM ({longer("hours", 1440, 24)}) UNION ALL SELECT *, '1d' FROM days UNION ALL SELECT *, '7d' FROM ({longer("days", 10080, 7)})),
 candles AS (SELECT *, CASE WHEN close_price > open_price THEN 1 WHEN close_price < open_price THEN -1 ELSE 0 END AS candle_direction, abs(close_price - open_price) AS body_size,
