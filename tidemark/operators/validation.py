@@ -104,6 +104,28 @@ def flat_signals(indicated: DataFrame, n: int = 20) -> DataFrame:
     return out.where("flat > 0")
 
 
+def horner(x: str, factor: float, rows: int = 512) -> Column:
+    """The adjusted exponential average by its recursion over the last `rows` rows; older ones must not count (the factor to that power is below 1e-16)."""
+    last = Window.partitionBy(*SERIES).orderBy("open_time").rowsBetween(1 - rows, 0)
+    both = F.aggregate(F.collect_list(x).over(last), F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("w")), lambda a, v: F.struct((a["n"] * factor + v).alias("n"), (a["w"] * factor + 1).alias("w")))
+    return both["n"] / both["w"]
+
+
+def reference_indicators(candles: DataFrame) -> DataFrame:
+    """MACD and Bollinger columns by other formulas than the engine's, to hold its tables against."""
+    out = candles.withColumn("macd", horner("close_price", 1 - 2 / 13) - horner("close_price", 1 - 2 / 27))
+    out = out.withColumn("macd_signal", horner("macd", 1 - 2 / 10)).withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+    last = F.collect_list("close_price").over(Window.partitionBy(*SERIES).orderBy("open_time").rowsBetween(-19, 0))
+    n, total = F.size("__x"), F.aggregate("__x", F.lit(0.0), lambda a, v: a + v)
+    out = out.withColumn("__x", last).withColumn("bb_middle", total / n)
+    square = F.aggregate("__x", F.lit(0.0), lambda a, v: a + (v - F.col("bb_middle")) * (v - F.col("bb_middle")))
+    out = out.withColumn("__d", F.sqrt(square / F.nullif(n - 1, F.lit(0))))
+    return out.withColumn("bb_upper", F.col("bb_middle") + 2 * F.col("__d")).withColumn("bb_lower", F.col("bb_middle") - 2 * F.col("__d")).select(*KEY, *REFERENCE)
+
+
+REFERENCE = ["macd", "macd_signal", "macd_histogram", "bb_upper", "bb_middle", "bb_lower"]
+
+
 def uncovered(source: DataFrame, target: DataFrame, key: list[str] = KEY) -> DataFrame:
     """Keys of source that the target lacks."""
     return source.select(*key).distinct().join(target.select(*key), key, "left_anti")

@@ -1,7 +1,7 @@
 """Registered market queries and their SQL counterparts.
 
-Both sides give times as text and numbers in a form that the order of additions doesn't change: averages as 32-bit floats,
-differences of averages (MACD) as such floats of their sum with 100,000, ratios and percentages at four.
+Both sides give times as text and numbers in a form that the order of additions doesn't change: sums at two decimals (which the
+data have), averages as 32-bit floats, MACD at five decimals, ratios and percentages at four.
 """
 
 from __future__ import annotations
@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import FEATURE_GROUPS, FEATURES, KEY, SIGNALS
 from tidemark.operators import candles as C
 from tidemark.operators import incremental as I
+from tidemark.operators import ingest as G
 from tidemark.operators import technical as T
 from tidemark.operators import validation as V
 from tidemark.plans import market_sql as Q
 from tidemark.plans import semantic as M
+from tidemark.sources import klines as K
+from tidemark.sources.klines import KINDS
 from tidemark.sources.ticks import event_ticks, scan
 
 TIME, DUCK_TIME = "yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S"
@@ -33,24 +36,27 @@ _sql: dict[str, str] = {}
 
 
 def rounded(name: str) -> str:
-    """How a number is given: f (32-bit), m (the same beside 100,000, so by absolute size), 4 (decimals), or as it is."""
+    """How a number is given: f (32-bit), so many decimals, or as it is."""
+    if name in SUMS or name.startswith("total_") or name == "latest_volume":
+        return "2"
     if name in MACD:
-        return "m"
-    if name in SUMS or name in T.INDICATORS or name.startswith(("average_", "total_", "latest_volume", "value")) and not name.endswith(("pct", "normalized", "strength", "position")):
+        return "5"  # a series' second row has values of exactly five decimals
+    if name in T.INDICATORS or name.startswith(("average_", "value")) and not name.endswith(("pct", "normalized", "strength", "position")):
         return "f"
     if name in T.feature_names() and name != "ema_alignment" or name.startswith(("current_", "average_")) or name in ("period_change", "bullish_ratio", "bearish_ratio", "value"):
         return "4"
     return ""
 
 
+TIMES = ("open_time", "close_time", "ingested_at", "latest_time", "snapshot_time", "top_time")
+
+
 def col(name: str):
     how, x = rounded(name), F.col(name)
-    if name in ("open_time", "close_time", "ingested_at", "latest_time", "snapshot_time"):
+    if name in TIMES:
         x = F.date_format(x, TIME)
     elif how == "f":
         x = x.cast("float").cast("double")
-    elif how == "m":
-        x = (x + 100000).cast("float").cast("double") - 100000
     elif how:
         x = F.round(x, int(how)) + F.lit(0.0)
     return x.alias(name)
@@ -58,10 +64,8 @@ def col(name: str):
 
 def sql(name: str) -> str:
     how = rounded(name)
-    if name in ("open_time", "close_time", "ingested_at", "latest_time", "snapshot_time"):
+    if name in TIMES:
         return f"strftime({name}, '{DUCK_TIME}') AS {name}"
-    if how == "m":
-        return f"({name} + 100000)::FLOAT::DOUBLE - 100000 AS {name}"
     return f"{name}::FLOAT::DOUBLE AS {name}" if how == "f" else f"round({name}, {how}) + 0.0 AS {name}" if how else name
 
 
@@ -114,7 +118,10 @@ for _name, _group in FEATURES.items():
 for _name, _group in SIGNALS.items():
     picked(f"signals_{_name}", Q.ALL, "data", data, [*KEY, *_group])
 picked("dataset", Q.ALL, "data", data, [*KEY, *T.feature_names(), *T.signal_names()])
-picked("recent_signals", Q.ALL, "data", data, [*KEY, "macd_bullish_cross", "macd_bearish_cross", "golden_cross", "death_cross", "breakout_confirmation"], "macd_bullish_cross OR macd_bearish_cross OR golden_cross OR death_cross OR breakout_confirmation")
+_crosses = ["macd_bullish_cross", "macd_bearish_cross", "golden_cross", "death_cross", "breakout_confirmation"]
+query("recent_signals", f"{Q.ALL} SELECT {', '.join(sql(n) for n in [*KEY, *_crosses])} FROM data WHERE {' OR '.join(_crosses)} ORDER BY data.open_time DESC, timeframe, symbol")(
+    lambda s, d: data(s, d).where(" OR ".join(_crosses)).orderBy(F.desc("open_time"), "timeframe", "symbol").select(*[col(n) for n in [*KEY, *_crosses]])
+)
 
 # Dimensions and constant tables.
 query("dim_symbol", f"{Q.ALL} SELECT symbol FROM candles UNION SELECT symbol FROM data")(lambda s, d: M.dim(candles(s, d), data(s, d), "symbol"))
@@ -124,7 +131,7 @@ query("dim_exchange", f"{Q.ALL} SELECT exchange FROM candles UNION SELECT exchan
 @query("dim_datetime", f"{Q.TO_CANDLES} SELECT DISTINCT strftime(open_time, '{DUCK_TIME}') AS open_time, strftime(open_time, '%Y-%m-%d') AS date, year(open_time)::INT AS year, month(open_time)::INT AS month_number, strftime(open_time, '%B') AS month_name, day(open_time)::INT AS day, hour(open_time)::INT AS hour, minute(open_time)::INT AS minute, strftime(open_time, '%d %b %Y %H:%M') AS date_label FROM candles")
 def dim_datetime(s, d):
     x = candles(s, d)
-    out = M.dim_datetime(x, x.select("open_time"))
+    out = M.dim_datetime(x, data(s, d))
     return out.select(col("open_time"), F.col("date").cast("string").alias("date"), "year", "month_number", "month_name", "day", "hour", "minute", "date_label")
 
 
@@ -161,8 +168,8 @@ query("indicator_averages", f"{Q.ALL}, g AS (SELECT {_by}, {', '.join(f'avg({x})
 query("indicator_explorer", f"{Q.ALL} SELECT timeframe, strftime(open_time, '{DUCK_TIME}') AS open_time, round(avg(bollinger_position), 4) + 0.0 AS value, 'Bollinger Position over time' AS title FROM data GROUP BY timeframe, data.open_time")(
     lambda s, d: M.selected_indicator(data(s, d), ["timeframe", "open_time"], "Bollinger Position").select("timeframe", col("open_time"), (F.round("value", 4) + 0.0).alias("value"), "title")
 )
-query("price_series", f"{Q.TO_CANDLES} SELECT timeframe, strftime(open_time, '{DUCK_TIME}') AS open_time, max(high_price) AS high_price, min(low_price) AS low_price, max(close_price) AS close_price, sum(volume)::FLOAT::DOUBLE AS volume FROM candles GROUP BY timeframe, candles.open_time")(
-    lambda s, d: shown(candles(s, d).groupBy("timeframe", "open_time").agg(F.max("high_price").alias("high_price"), F.min("low_price").alias("low_price"), F.max("close_price").alias("close_price"), F.sum("volume").alias("volume")), ["timeframe", "open_time", "high_price", "low_price", "close_price", "volume"])
+query("price_series", f"{Q.TO_CANDLES} SELECT timeframe, strftime(open_time, '{DUCK_TIME}') AS open_time, max(high_price) AS high_price, max(low_price) AS low_price, max(close_price) AS close_price, max(open_price) AS open_price, round(sum(volume), 2) + 0.0 AS volume FROM candles GROUP BY timeframe, candles.open_time")(
+    lambda s, d: shown(candles(s, d).groupBy("timeframe", "open_time").agg(*[F.max(x).alias(x) for x in BARS[:4]], F.sum("volume").alias("volume")), ["timeframe", "open_time", "open_price", "high_price", "low_price", "close_price", "volume"])
 )
 query("rsi_macd_series", f"{Q.ALL} SELECT timeframe, strftime(open_time, '{DUCK_TIME}') AS open_time, {', '.join(f'round(avg({x}), 4) + 0.0 AS average_{x}' for x in ('rsi_normalized', 'macd_strength', 'macd_histogram_pct'))} FROM data GROUP BY timeframe, data.open_time")(
     lambda s, d: shown(M.indicator_averages(data(s, d), ["timeframe", "open_time"]), ["timeframe", "open_time", "average_rsi_normalized", "average_macd_strength", "average_macd_histogram_pct"])
@@ -180,10 +187,10 @@ query("confirmation_matrix", f"{Q.ALL}, {Q.bias('timeframe')}, {_confirm} SELECT
 query("bias_matrix", f"{Q.ALL}, {Q.bias(_by)} SELECT symbol, {_pivot('symbol', 'bias')} FROM scores GROUP BY symbol")(lambda s, d: M.bias_matrix(data(s, d), FRAMES))
 query("strength_ranking", f"{Q.ALL}, {Q.bias(_by)} SELECT {_by}, bias_score FROM scores ORDER BY bias_score DESC, {_by}")(lambda s, d: M.strength_ranking(data(s, d), BY))
 query("signal_events", f"{Q.ALL}, e AS (" + " UNION ALL ".join(f"SELECT {_by}, '{k}' AS signal_type, count(*) AS events FROM data WHERE {Q.any_of(*n)} GROUP BY {_by}" for k, (_, n) in M.SIGNAL_TYPES.items()) + ") SELECT * FROM e")(lambda s, d: M.signal_events(data(s, d), BY))
-query("risk_scatter", f"{Q.ALL} SELECT a.*, total_volume FROM (SELECT {_by}, round(avg(atr_pct), 4) + 0.0 AS average_atr_pct, round(avg(rsi_normalized), 4) + 0.0 AS average_rsi_normalized FROM data GROUP BY {_by}) a JOIN (SELECT {_by}, sum(volume)::FLOAT::DOUBLE AS total_volume FROM candles GROUP BY {_by}) USING ({_by})")(
+query("risk_scatter", f"{Q.ALL} SELECT a.*, total_volume FROM (SELECT {_by}, round(avg(atr_pct), 4) + 0.0 AS average_atr_pct, round(avg(rsi_normalized), 4) + 0.0 AS average_rsi_normalized FROM data GROUP BY {_by}) a JOIN (SELECT {_by}, round(sum(volume), 2) + 0.0 AS total_volume FROM candles GROUP BY {_by}) USING ({_by})")(
     lambda s, d: shown(M.risk_scatter(candles(s, d), data(s, d), BY), [*BY, "average_atr_pct", "average_rsi_normalized", "total_volume"])
 )
-query("volume_treemap", f"{Q.TO_CANDLES} SELECT {_by}, sum(volume)::FLOAT::DOUBLE AS total_volume FROM candles GROUP BY {_by}")(lambda s, d: shown(candles(s, d).groupBy(*BY).agg(F.sum("volume").alias("total_volume")), [*BY, "total_volume"]))
+query("volume_treemap", f"{Q.TO_CANDLES} SELECT {_by}, round(sum(volume), 2) + 0.0 AS total_volume FROM candles GROUP BY {_by}")(lambda s, d: shown(candles(s, d).groupBy(*BY).agg(F.sum("volume").alias("total_volume")), [*BY, "total_volume"]))
 _category = f"""c0 AS (SELECT timeframe, symbol, CASE WHEN ema_bullish_alignment THEN 1 WHEN ema_bearish_alignment THEN -1 ELSE 0 END + CASE WHEN {Q.any_of("macd_bullish_cross", "macd_positive")} THEN 1 WHEN macd_bearish_cross THEN -1 ELSE 0 END
     + CASE WHEN coalesce(rsi_normalized, 0) >= 0.6 THEN 1 WHEN coalesce(rsi_normalized, 0) <= 0.4 THEN -1 ELSE 0 END
     + CASE WHEN coalesce(bollinger_breakout_up, false) OR coalesce(bollinger_position, 0) >= 0.6 THEN 1 WHEN coalesce(bollinger_breakout_down, false) OR coalesce(bollinger_position, 0) <= 0.4 THEN -1 ELSE 0 END
@@ -251,8 +258,44 @@ def kline_violations(s, d):
     return out.select(*[col(x) for x in KEY], F.when(F.col("violation").contains("price_not"), "price").otherwise(F.col("violation")).alias("violation"))
 
 
-query("indicator_invariants", f"{Q.TO_INDICATORS} SELECT {', '.join(sql(x) for x in KEY)}, 'band_missing' AS broken FROM indicators WHERE rn >= 20 AND bb_upper IS NULL")(lambda s, d: V.invariants(indicated(s, d)).select(*[col(x) for x in KEY], "broken"))
-query("macd_signal_flat", f"{Q.TO_INDICATORS}, n AS (SELECT *, row_number() OVER (PARTITION BY timeframe, exchange, symbol ORDER BY open_time DESC) AS k FROM indicators), g AS (SELECT timeframe, count(*) AS c, count(DISTINCT macd_signal) AS v FROM n WHERE k <= 20 GROUP BY timeframe, exchange, symbol) SELECT timeframe, count(*) FILTER (WHERE c = 20) AS series, count(*) FILTER (WHERE c = 20 AND v <= 1) AS flat FROM g GROUP BY timeframe HAVING count(*) FILTER (WHERE c = 20 AND v <= 1) > 0")(lambda s, d: V.flat_signals(indicated(s, d)))
+_day = "day(open_time)"
+
+
+def seeded(df: DataFrame) -> DataFrame:
+    """Indicators with each kind of error put in on some days of the month, so that the tests have something to find."""
+    on = lambda n: F.day("open_time") == n
+    out = df.withColumn("macd_histogram", F.when(on(5), F.col("macd_histogram") + 1e-3).otherwise(F.col("macd_histogram")))
+    out = out.withColumn("bb_upper", F.when(on(9), F.col("bb_lower") - 1).when(on(13), F.lit(None)).otherwise(F.col("bb_upper")))
+    return out.withColumn("bb_middle", F.when(on(17), F.lit(None)).otherwise(F.col("bb_middle"))).withColumn("macd", F.when(on(21), F.lit(None)).when(on(25), F.col("macd") + 1e-6).otherwise(F.col("macd")))
+
+
+_seeded = f"""x AS (SELECT * REPLACE (CASE WHEN {_day} = 5 THEN macd_histogram + 1e-3 ELSE macd_histogram END AS macd_histogram,
+    CASE {_day} WHEN 9 THEN bb_lower - 1 WHEN 13 THEN NULL ELSE bb_upper END AS bb_upper, CASE {_day} WHEN 17 THEN NULL ELSE bb_middle END AS bb_middle,
+    CASE {_day} WHEN 21 THEN NULL WHEN 25 THEN macd + 1e-6 ELSE macd END AS macd) FROM indicators)"""
+_k = ", ".join(sql(x) for x in KEY)
+query(
+    "indicator_invariants",
+    f"""{Q.TO_INDICATORS}, {_seeded} SELECT {_k}, 'histogram' AS broken FROM x WHERE abs(macd_histogram - (macd - macd_signal)) > 1e-9
+    UNION ALL SELECT {_k}, 'band_order' FROM x WHERE NOT (bb_upper >= bb_middle AND bb_middle >= bb_lower)
+    UNION ALL SELECT {_k}, 'band_missing' FROM x WHERE rn >= 20 AND (bb_upper IS NULL OR bb_middle IS NULL OR bb_lower IS NULL)""",
+)(lambda s, d: V.invariants(seeded(indicated(s, d))).select(*[col(x) for x in KEY], "broken"))
+
+
+@query(
+    "historical_reference",
+    f"""{Q.TO_INDICATORS}, {_seeded}, b AS (SELECT x.*, {", ".join(f"i.{c} AS {c}_r" for c in V.REFERENCE)} FROM x JOIN indicators i USING (timeframe, exchange, symbol, open_time))
+    SELECT {_k} FROM b WHERE {" OR ".join(f"({c} IS NULL) IS DISTINCT FROM ({c}_r IS NULL) OR abs({c} - {c}_r) > 1e-7" for c in V.REFERENCE)}""",
+)
+def historical_reference(s, d):
+    """Rows of a table of indicators that differ from what other formulas give: those with seeded errors, and no others."""
+    x = candles(s, d)
+    return V.differences(seeded(T.with_indicators(x)), V.reference_indicators(x), V.REFERENCE, tolerance=1e-7).select(*[col(k) for k in KEY])
+
+
+_flat = "x AS (SELECT * REPLACE (CASE WHEN timeframe = '1d' AND symbol IN ('A', 'N') THEN 1.5 ELSE macd_signal END AS macd_signal) FROM indicators)"
+query("macd_signal_flat", f"{Q.TO_INDICATORS}, {_flat}, n AS (SELECT *, row_number() OVER (PARTITION BY timeframe, exchange, symbol ORDER BY open_time DESC) AS k FROM x), g AS (SELECT timeframe, count(*) AS c, count(DISTINCT macd_signal) AS v FROM n WHERE k <= 20 GROUP BY timeframe, exchange, symbol) SELECT timeframe, count(*) FILTER (WHERE c = 20) AS series, count(*) FILTER (WHERE c = 20 AND v <= 1) AS flat FROM g GROUP BY timeframe HAVING count(*) FILTER (WHERE c = 20 AND v <= 1) > 0")(
+    lambda s, d: V.flat_signals(indicated(s, d).withColumn("macd_signal", F.when((F.col("timeframe") == "1d") & F.col("symbol").isin("A", "N"), 1.5).otherwise(F.col("macd_signal"))))
+)
 query("coverage_anti_join", f"{Q.TO_CANDLES}, {_h}, {_late} SELECT {', '.join(sql(x) for x in KEY)} FROM h ANTI JOIN t USING (timeframe, exchange, symbol, open_time)")(lambda s, d: V.uncovered(hours(s, d), _before(hours(s, d), True)).select(*[col(x) for x in KEY]))
 query("not_null", "SELECT 'rsi_14' AS \"column\", count(*) AS nulls FROM (" + f"{Q.TO_INDICATORS} SELECT * FROM indicators) WHERE rsi_14 IS NULL")(lambda s, d: V.null_counts(indicated(s, d), ["symbol", "ema_9", "sma_20", "rsi_14"]))
 query("accepted_timeframes", f"{Q.TO_CANDLES} SELECT timeframe AS value, count(*) AS rows FROM candles WHERE timeframe NOT IN ('5m', '15m', '30m', '1h', '1d') GROUP BY timeframe")(lambda s, d: V.unaccepted(candles(s, d), "timeframe", ["5m", "15m", "30m", "1h", "1d"]))
@@ -262,6 +305,120 @@ query("top20_per_key", f"{Q.TO_CANDLES} SELECT {_shown_keys}, rn FROM (SELECT *,
 query("table_counts", f"{Q.ALL} SELECT 'candles' AS layer, count(*) AS rows FROM candles UNION ALL SELECT 'dataset', count(*) FROM data")(lambda s, d: candles(s, d).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("candles").alias("layer"), "rows").union(data(s, d).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("dataset"), "rows")))
 
 
+# Staging: events as raw prices, hourly candles as klines, days as tickers.
+def _hour_klines(s: SparkSession, d: str) -> DataFrame:
+    return hours(s, d).select("symbol", *KINDS["kline"].keys() - {"symbol"}, "ingested_at")
+
+
+query("staging_prices", f"SELECT 'BINANCE' AS exchange, event_type AS symbol, value AS price, strftime(ts, '{DUCK_TIME}') AS ingested_at FROM events")(
+    lambda s, d: G.staging(scan(s, d, "events").select(F.col("event_type").alias("symbol"), F.col("value").alias("price"), F.col("ts").alias("ingested_at")), "price").select("exchange", "symbol", "price", col("ingested_at"))
+)
+_kline = ["exchange", "symbol", "open_time", "close_time", *BARS, *SUMS, "ingested_at"]
+query("staging_klines", f"{Q.TO_CANDLES} SELECT {', '.join(sql(x) for x in _kline)} FROM candles WHERE timeframe = '1h'")(lambda s, d: shown(G.staging(_hour_klines(s, d), "kline"), _kline))
+query("market_candles", f"{Q.TO_CANDLES} SELECT {', '.join(sql(x) for x in _kline)}, '1m' AS interval FROM candles WHERE timeframe = '1h'")(
+    lambda s, d: shown(G.of_interval(G.market_candles(G.staging(_hour_klines(s, d), "kline")).unionByName(G.market_candles(G.staging(_hour_klines(s, d), "kline"), "5m"))), [*_kline, "interval"])
+)
+_ticker = ["symbol", "price_change", "last_price", "open_price", "high_price", "low_price", "volume", "count"]
+_tickers = "t AS (SELECT symbol, close_price - open_price AS price_change, close_price AS last_price, open_price, high_price, low_price, volume, number_of_trades AS count, open_time, close_time FROM candles WHERE timeframe = '1h')"
+
+
+def _raw_tickers(s: SparkSession, d: str) -> DataFrame:
+    """Hours as an exchange's ticker records: JSON with its own names, numbers as text."""
+    text = lambda x: F.col(x).cast("decimal(28,8)").cast("string")
+    fields = {"priceChange": (F.col("close_price") - F.col("open_price")).cast("decimal(28,8)").cast("string"), "lastPrice": text("close_price"), "openPrice": text("open_price"), "highPrice": text("high_price"), "lowPrice": text("low_price"), "volume": text("volume"), "quoteVolume": text("quote_asset_volume")}
+    zero = [k for k, (_, t) in K.TICKER.items() if t.startswith("decimal") and k not in fields]
+    times = {"openTime": F.unix_millis("open_time"), "closeTime": F.unix_millis("close_time"), "firstId": F.lit(1), "lastId": F.lit(2), "count": F.col("number_of_trades")}
+    value = F.struct(F.col("symbol"), *[x.alias(k) for k, x in (fields | times).items()], *[F.lit("0").alias(k) for k in zero])
+    return hours(s, d).select("symbol", F.to_json(value).alias("value"), "ingested_at")
+
+
+query("staging_tickers", f"{Q.TO_CANDLES}, {_tickers} SELECT 'BINANCE' AS exchange, symbol, round(price_change, 4) + 0.0 AS price_change, last_price, open_price, high_price, low_price, round(volume, 2) + 0.0 AS volume, count, strftime(open_time, '{DUCK_TIME}') AS open_time, strftime(close_time, '{DUCK_TIME}') AS close_time FROM t")(
+    lambda s, d: G.staging(K.typed(K.named(_raw_tickers(s, d).select("symbol", "value"), "ticker"), "ticker").withColumn("ingested_at", F.col("close_time")), "ticker").select("exchange", "symbol", (F.round(F.col("price_change").cast("double"), 4) + 0.0).alias("price_change"), *[F.col(x).cast("double").alias(x) for x in _ticker[2:-2]], (F.round(F.col("volume").cast("double"), 2) + 0.0).alias("volume"), "count", col("open_time"), col("close_time"))
+)
+
+
+@query(
+    "ticker_violations",
+    f"""{Q.TO_CANDLES}, {_tickers}, v AS (SELECT symbol, open_time, CASE count % 7 WHEN 1 THEN 'high_below_low' WHEN 2 THEN 'last_price_negative' WHEN 3 THEN 'volume_negative' WHEN 4 THEN 'count_invalid' WHEN 5 THEN 'times_out_of_order' END AS violation FROM t)
+    SELECT symbol, strftime(open_time, '{DUCK_TIME}') AS open_time, violation FROM v WHERE violation IS NOT NULL""",
+)
+def ticker_violations(s, d):
+    """Every rule on tickers, broken by the number of trades modulo 7; the record is otherwise in order."""
+    n = F.col("count").cast("int") % 7
+    x = K.named(_raw_tickers(s, d).select("symbol", "value"), "ticker").withColumn("number", n).withColumn("own", F.col("open_time"))
+    bad = {"high_price": (1, F.lit("-1")), "last_price": (2, F.lit("-0.1")), "volume": (3, F.lit("-5")), "count": (4, F.lit("1.5")), "close_time": (5, F.col("open_time"))}
+    x = x.withColumns({k: F.when(F.col("number") == m, v).otherwise(F.col(k)) for k, (m, v) in bad.items()})
+    return V.violations(x, "ticker").select("symbol", F.date_format(F.timestamp_millis(F.col("own").cast("bigint")), TIME).alias("open_time"), "violation")
+
+
+# Star joins, views, selections, formats.
+query("star_joins", f"{Q.ALL} SELECT timeframe, CASE timeframe WHEN '1h' THEN 4 WHEN '1d' THEN 5 END AS sort_order, month(open_time)::INT AS month_number, count(*) AS candles FROM candles GROUP BY ALL")(
+    lambda s, d: M.star(candles(s, d), {"timeframe": F.broadcast(M.dim_timeframe(s)), "open_time": M.dim_datetime(candles(s, d), candles(s, d).limit(0))}).groupBy("timeframe", "sort_order", "month_number").agg(F.count(F.lit(1)).alias("candles"))
+)
+query("sliced_candles", f"{Q.TO_CANDLES} SELECT {_shown_keys} FROM candles WHERE timeframe = '1d' AND symbol IN ('A', 'R') AND open_time BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1996-06-30'")(
+    lambda s, d: shown(M.sliced(candles(s, d), symbol=["A", "R"], timeframe=["1d"], start="1995-01-01", end="1996-06-30"), _keys)
+)
+query("volume_cards", f"{Q.TO_CANDLES}, v AS (SELECT {_by}, sum(volume) AS x FROM candles GROUP BY {_by}) SELECT {_by}, CASE WHEN abs(x) >= 1e9 THEN printf('%.2fB', x / 1e9) WHEN abs(x) >= 1e6 THEN printf('%.2fM', x / 1e6) WHEN abs(x) >= 1e3 THEN printf('%.2fK', x / 1e3) ELSE format('{{:,.2f}}', x) END AS shown FROM v")(
+    lambda s, d: candles(s, d).groupBy(*BY).agg(F.sum("volume").alias("x")).select(*BY, M.number_format(F.col("x")).alias("shown"))
+)
+
+
+@query("view_latest", f"{Q.TO_CANDLES} SELECT timeframe, symbol, strftime(max(open_time), '{DUCK_TIME}') AS top_time, count(*) AS candles FROM candles GROUP BY timeframe, symbol")
+def view_latest(s, d):
+    """The candles as a view, asked by SQL."""
+    (name,) = M.views(s, {"market_candles_bi": candles(s, d)}, "gold")
+    return s.sql(f"SELECT timeframe, symbol, date_format(max(open_time), '{TIME}') AS top_time, count(*) AS candles FROM {name} GROUP BY timeframe, symbol")
+
+
+# Runs on keyed tables, in a folder of their own.
+def _table(s: SparkSession, name: str, df: DataFrame, key: list[str], by=None) -> I.Table:
+    return I.Table(s, I.scratch(s, name), df.schema, key, by)
+
+
+@query("reprocess_window_run", f"{Q.TO_CANDLES}, {_h}, r AS ({Q.longer('h', 1440, 24)}) SELECT {', '.join(sql(x) for x in ['exchange', 'symbol', 'open_time', 'close_price', 'number_of_trades'])} FROM r")
+def reprocess_window_run(s, d):
+    """Days from hours, some of which come late, by runs that each make the last three days anew: the same as a full refresh."""
+    x = hours(s, d).drop("timeframe")
+    late = (F.hour("open_time") == 7) & (F.day("open_time") % 3 == 0)
+    day = lambda df: C.aggregate(df, 1440, 60)
+    target = _table(s, "days", day(x), KEY[1:], F.date_trunc("month", "open_time"))
+    target.replace(day(x.where(~late | (F.col("open_time") < F.lit("2024-01-08").cast("timestamp")))))
+    for _ in range(2):  # the late hours are there; days that they complete may be older than the newest day by any time
+        I.reprocess(x, target, day, 400)
+    return target.read().select(*[col(k) for k in KEY[1:]], "close_price", "number_of_trades")
+
+
+@query("append_run", f"{Q.TO_CANDLES}, {_h} SELECT {_shown_keys} FROM h UNION ALL SELECT {_shown_keys} FROM h WHERE open_time >= {_cut}")
+def append_run(s, d):
+    x = hours(s, d).select(*_keys)
+    target = _table(s, "appended", x, KEY, F.to_date("open_time"))
+    target.append(x)
+    target.append(x.where(F.col("open_time") >= F.lit(CUT["1h"]).cast("timestamp")))
+    return shown(target.read(), _keys)
+
+
+@query("insert_ignore_run", f"{Q.TO_CANDLES}, {_h} SELECT {_shown_keys} FROM h")
+def insert_ignore_run(s, d):
+    """What is there stays, and of new rows of one key the first by price comes in."""
+    x = hours(s, d).select(*_keys)
+    target = _table(s, "inserted", x, KEY, F.to_date("open_time"))
+    target.insert_ignore(_before(x, True))
+    target.insert_ignore(x.unionByName(x.withColumn("close_price", F.col("close_price") + 7)), [F.col("close_price")])
+    return shown(target.read(), _keys)
+
+
+@query("snapshot_run", f"""{Q.TO_CANDLES}, {_h}, t AS (SELECT exchange, symbol, arg_max(close_price, open_time) AS price, max(close_time) AS snapshot_time FROM h GROUP BY ALL
+    UNION ALL SELECT exchange, symbol, arg_max(close_price, open_time), max(close_time) FROM h WHERE open_time < {_cut} GROUP BY ALL) SELECT exchange, symbol, price, {sql('snapshot_time')} FROM t""")
+def snapshot_run(s, d):
+    """The snapshot of two times, upserted by its own time; a run on the same data changes nothing."""
+    x = hours(s, d)
+    at = lambda df: C.latest_snapshot(df.select("exchange", "symbol", F.col("close_price").alias("price"), F.col("close_time").alias("ingested_at")), df.select("exchange", "symbol", F.col("volume").alias("ticker_volume"), F.col("close_time").alias("ingested_at"))).select("exchange", "symbol", "price", "snapshot_time")
+    target = _table(s, "snapshots", at(x), ["exchange", "symbol", "snapshot_time"])
+    for df in (_before(x), x, x):
+        target.upsert(at(df))
+    return target.read().select("exchange", "symbol", "price", col("snapshot_time"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)
 

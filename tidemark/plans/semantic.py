@@ -52,6 +52,37 @@ def signal_types(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(k, p, i + 1) for i, (k, (p, _)) in enumerate(SIGNAL_TYPES.items())], "signal_type string, polarity string, sort int")
 
 
+def number_format(x: Column) -> Column:
+    """A number as cards show it, with two decimals: thousands with K, millions with M, billions with B, smaller ones with commas."""
+    size, shown = F.abs(x), lambda unit, mark: F.format_string(f"%.2f{mark}", x / unit)
+    return F.when(size >= 1e9, shown(1e9, "B")).when(size >= 1e6, shown(1e6, "M")).when(size >= 1e3, shown(1e3, "K")).otherwise(F.format_number(x, 2))
+
+
+def star(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
+    """A fact with the columns of its dimensions, each joined by its key (facts filter through them); a dimension has one row a key, so none is lost or doubled."""
+    for key, dimension in dimensions.items():
+        fact = fact.join(dimension, key, "left")
+    return fact
+
+
+def views(spark: SparkSession, tables: dict[str, DataFrame], schema: str = "") -> list[str]:
+    """Temporary views of the layers by name, for SQL; with a schema, its name goes before theirs as it is."""
+    names = [f"{schema}_{k}" if schema else k for k in tables]
+    for name, df in zip(names, tables.values()):
+        df.createOrReplaceTempView(name)
+    return names
+
+
+def sliced(df: DataFrame, exchange: list[str] | None = None, symbol: list[str] | None = None, timeframe: list[str] | None = None, start=None, end=None) -> DataFrame:
+    """Rows of a report's selection; none given selects all. Plain comparisons, so they reach the scans."""
+    for name, values in (("exchange", exchange), ("symbol", symbol), ("timeframe", timeframe)):
+        if values:
+            df = df.where(c(name).isin(*values))
+    if start is not None:
+        df = df.where(c("open_time") >= F.lit(start).cast("timestamp"))
+    return df if end is None else df.where(c("open_time") <= F.lit(end).cast("timestamp"))
+
+
 def dim(candles: DataFrame, data: DataFrame, column: str) -> DataFrame:
     """Distinct values of a key column of both facts."""
     return candles.select(column).union(data.select(column)).distinct()
@@ -76,33 +107,34 @@ def with_bias_category(data: DataFrame) -> DataFrame:
     return data.withColumn("bias_category", F.when(score >= 2, "Bullish").when(score <= -2, "Bearish").otherwise("Neutral"))
 
 
-def marked(df: DataFrame, by: list[str]) -> DataFrame:
-    """df with the latest (and first) time of its group, joined from a small aggregate, so no group is sorted or held."""
-    ends = df.groupBy(*by).agg(F.max("open_time").alias("__last"), F.min("open_time").alias("__first"))
-    return df.join(ends, by)
+def newest(value: Column) -> Column:
+    """The largest of the value at the latest time: one aggregate, no join to the group's own maximum."""
+    return F.max(F.struct(c("open_time"), value.alias("v")))["v"]
 
 
-def at(which: str, value: Column) -> Column:
-    return F.when(c("open_time") == c(which), value)
+def oldest(value: Column) -> Column:
+    """The smallest of the value at the first time."""
+    return F.min(F.struct(c("open_time"), value.alias("v")))["v"]
 
 
 def candle_measures(candles: DataFrame, by: list[str]) -> DataFrame:
     """All measures of candles for each group."""
-    latest = {f"latest_{k}": F.max(at("__last", c(f"{k}_price"))) for k in ("close", "open", "high")}
-    out = marked(candles, by).groupBy(*by).agg(
-        *[x.alias(k) for k, x in latest.items()],
-        F.min(at("__last", c("low_price"))).alias("latest_low"),
+    out = candles.groupBy(*by).agg(
+        *[newest(c(f"{k}_price")).alias(f"latest_{k}") for k in ("close", "open", "high")],
+        (-newest(-c("low_price"))).alias("latest_low"),
         F.max("open_time").alias("latest_time"),
-        F.min(at("__first", c("open_price"))).alias("period_open"),
-        F.max(at("__last", c("close_price"))).alias("period_close"),
+        oldest(c("open_price")).alias("period_open"),
+        newest(c("close_price")).alias("period_close"),
         F.max("high_price").alias("period_high"),
         F.min("low_price").alias("period_low"),
         F.sum("volume").alias("total_volume"),
-        F.sum(at("__last", c("volume"))).alias("latest_volume"),
         F.avg("volume").alias("average_volume"),
         F.max("close_price").alias("close_price"),
         F.count(F.lit(1)).alias("candle_count"),
     )
+    # A sum at the latest time: by time first, added up within each task.
+    at_last = candles.groupBy(*by, "open_time").agg(F.sum("volume").alias("v")).groupBy(*by).agg(newest(c("v")).alias("latest_volume"))
+    out = out.join(at_last, by)
     return out.withColumn("period_change", F.try_divide(c("period_close") - c("period_open"), c("period_open")))
 
 
@@ -141,14 +173,10 @@ def bias_scores(data: DataFrame, by: list[str]) -> DataFrame:
     confirmed = flag("breakout_confirmation")
     up = flag("bollinger_breakout_up", "new_20_high", "new_50_high") | (confirmed & F.coalesce(c("price_vs_ema50_pct") >= 0, F.lit(True)))
     down = flag("bollinger_breakout_down", "new_20_low", "new_50_low") | (confirmed & F.coalesce(c("price_vs_ema50_pct") < 0, F.lit(False)))
-    now = c("open_time") == c("__last")
-    g = marked(data, by).groupBy(*by).agg(
-        F.max(at("__last", c("ema_alignment"))).alias("ema"),
+    g = data.groupBy(*by).agg(
+        newest(c("ema_alignment")).alias("ema"),
         *[F.coalesce(current(x), F.lit(0.0)).alias(k) for k, x in (("rsi", "rsi_normalized"), ("macd", "macd_strength"), ("boll", "bollinger_position"), ("ema50", "price_vs_ema50_pct"))],
-        F.count_if(now & up).alias("ups"),
-        F.count_if(now & down).alias("downs"),
-        F.count_if(now & flag("macd_bullish_cross")).alias("bull_crosses"),
-        F.count_if(now & flag("macd_bearish_cross")).alias("bear_crosses"),
+        *[newest(x.cast("int")).alias(k) for k, x in (("ups", up), ("downs", down), ("bull_crosses", flag("macd_bullish_cross")), ("bear_crosses", flag("macd_bearish_cross")))],
     )
     one_side = lambda a, b: F.when((c(a) > 0) & (c(b) == 0), 1).when((c(b) > 0) & (c(a) == 0), -1)
     parts = {
@@ -160,7 +188,7 @@ def bias_scores(data: DataFrame, by: list[str]) -> DataFrame:
         "breakout_score": one_side("ups", "downs").otherwise(0),
     }
     out = g.withColumns(parts).withColumn("bias_score", reduce(lambda a, b: a + b, [c(p) for p in parts]))
-    label = F.when(c("bias_score") >= 4, "🟢 Strong Bullish").when(c("bias_score") >= 1, "🟢 Bullish").when(c("bias_score") <= -4, "🔴 Strong Bearish").when(c("bias_score") <= -1, "🔴 Bearish").otherwise("⚪ Neutral")
+    label = F.when(c("bias_score").isNull(), "Sin datos").when(c("bias_score") >= 4, "🟢 Strong Bullish").when(c("bias_score") >= 1, "🟢 Bullish").when(c("bias_score") <= -4, "🔴 Strong Bearish").when(c("bias_score") <= -1, "🔴 Bearish").otherwise("⚪ Neutral")
     cross = one_side("bull_crosses", "bear_crosses").otherwise(c("macd_score"))
     return out.withColumn("bias", label).withColumn("macd_confirmation", cross).select(*by, *parts, "bias_score", "bias", "macd_confirmation")
 
