@@ -1,7 +1,10 @@
+import math
+import os
+
 import numpy as np
 import pytest
 
-from tidemark.llm.embeddings import near_duplicates, op1_pivot_permutation
+from tidemark.llm.embeddings import near_duplicates, op1_pivot_permutation, unit
 
 
 def brute(rows, least=0.98):
@@ -58,3 +61,25 @@ def test_recall_and_edges(spark, block):
     found, true = sum(x[1] for x in have), sum(x[1] for x in want)
     assert 0.99 * true <= found <= true and (found < true or have == want)
     assert got(near_duplicates(df.where("false"))) == []
+
+
+LINKED = "/root/testdata/check_s"
+
+
+@pytest.mark.skipif(not os.path.exists(f"{LINKED}/embeddings.parquet"), reason="no table with links")
+@pytest.mark.parametrize("pivots", [None, 1024])
+def test_recall_on_a_table_with_links(spark, pivots):
+    """Every link of a whole table by all pairs in double precision; n_links can only fall short, and by little."""
+    rows = spark.read.parquet(f"{LINKED}/embeddings.parquet").collect()
+    by = {}
+    for r in rows:
+        if r.label is not None and r.embedding and all(x is not None and math.isfinite(x) for x in r.embedding) and any(r.embedding):
+            by.setdefault(r.label, []).append((r.vec_id, r.embedding))
+    want = {r.vec_id: 0 for r in rows}
+    for group in by.values():
+        x = unit(np.array([v for _, v in group]))
+        for k, row in enumerate((x @ x.T >= 0.98).sum(axis=1) - 1):
+            want[group[k][0]] += int(row)
+    got = {r.vec_id: r.n_links for r in near_duplicates(spark.read.parquet(f"{LINKED}/embeddings.parquet"), pivots=pivots).collect()}
+    assert got.keys() == want.keys() and sum(want.values()) > 10_000 and all(got[k] <= want[k] for k in want)
+    assert sum(got.values()) >= 0.99 * sum(want.values()), sum(got.values()) / sum(want.values())

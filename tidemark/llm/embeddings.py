@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import q, remove, table, written
 from tidemark.llm.graphs import connected_components, forest, in_block_pairs, runs
 
-#: Pivots: at least so many, else the square root of the number of distinct vectors.
-PIVOTS = 256
+#: Pivots: the square root of the number of distinct vectors, within these bounds.
+PIVOTS, MOST_PIVOTS = 256, 4096
 #: Vectors that pivots are chosen from: so many times the pivots, those of least hash.
 SAMPLE = 16
 #: Nearest pivots that describe a vector, and how many of them candidates share.
@@ -64,7 +64,7 @@ def usable(v: Column) -> Column:
     return F.coalesce(F.forall(v, finite) & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def links_in_blocks(batches: Iterator[pa.RecordBatch], n_pivots: int, shared: int, least: float) -> Iterator[pa.RecordBatch]:
+def links_in_blocks(batches: Iterator[pa.RecordBatch], shared: int, least: float) -> Iterator[pa.RecordBatch]:
     """Rows of block pairs in order of (label, dim, pivot, lo, hi) -> (a, n) weighted numbers of links and (a, b) of a forest."""
     keys = ("label", "dim", "pivot", "lo", "hi")
     left: pa.Table | None = None
@@ -78,12 +78,13 @@ def links_in_blocks(batches: Iterator[pa.RecordBatch], n_pivots: int, shared: in
                 continue
             cut = t.slice(a, m)
             near = np.asarray(cut["nearest"].combine_chunks().flatten()).reshape(m, -1)
-            # Shared pivots, and shared pivots below this list's own, by products of 0/1 rows.
-            has = np.zeros((m, n_pivots), np.float32)
-            np.put_along_axis(has, near, 1, axis=1)
+            # Shared pivots, and shared pivots below this list's own, by products of 0/1 rows over the pivots that the block has.
+            known, place = np.unique(near, return_inverse=True)
+            has = np.zeros((m, len(known)), np.float32)
+            np.put_along_axis(has, place.reshape(m, -1), 1, axis=1)
             pairs = has @ has.T >= min(shared, near.shape[1])
-            if p:
-                pairs &= has[:, :p] @ has[:, :p].T == 0
+            if lower := int(np.searchsorted(known, p)):
+                pairs &= has[:, :lower] @ has[:, :lower].T == 0
             if lo[a] != hi[a]:
                 pairs &= own[a:b, None] != own[None, a:b]
             np.fill_diagonal(pairs, False)
@@ -127,8 +128,8 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     Null vectors, and those that are zero or empty or hold null or non-finite components, link with nothing, nor do those
     with a null label; they are kept. So is a row with a null id, with a null component_id. Rows of one id and different
     vectors share a component and links. Other columns don't take part, whatever their names. An
-    empty table gives an empty result. The index holds every vector; its pivots come from a sample of at most 16 times
-    their number, and links whose vectors share fewer than `shared` of their nearest pivots are not found (recall, measured: README).
+    empty table gives an empty result. The index holds every vector; its pivots, MOST_PIVOTS at most, come from a sample of at most 16 times
+    their number for each length of vector, and links whose vectors share fewer than `shared` of their nearest pivots are not found (recall, measured: README).
     """
     rows = vectors.select(q(id_col).cast("long").alias("id"), q(vector_col).alias("vec"), q(label_col).cast("long").alias("label"))
     good = F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("vec"))
@@ -151,12 +152,11 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
 
 def _links(nodes: DataFrame, least: float, pivots: int | None, k: int, shared: int, block: int) -> tuple[DataFrame, str]:
     spark = nodes.sparkSession
-    n = pivots or max(PIVOTS, math.isqrt(nodes.count()))
+    n = pivots or min(MOST_PIVOTS, max(PIVOTS, math.isqrt(nodes.count())))
     by_dim: dict[int, np.ndarray] = {}
     for d in [r.dim for r in nodes.select("dim").distinct().collect()]:
         sample = nodes.where(F.col("dim") == d).orderBy(F.xxhash64("node"), "node").limit(SAMPLE * n).select("vec").toArrow()
         by_dim[d] = choose_pivots(np.asarray(sample["vec"].combine_chunks().flatten()).reshape(-1, d), n)
-    width = max((len(x) for x in by_dim.values()), default=1)
     sent = spark.sparkContext.broadcast(by_dim)  # n pivots for each length of vector
 
     def entered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,9 +176,9 @@ def _links(nodes: DataFrame, least: float, pivots: int | None, k: int, shared: i
     lists = nodes.select("label", "vec", "node", "n", "dim").mapInArrow(entered, f"label long, dim int, pivot int, node long, n long, nearest array<int>, vec {kind}")
     lists, p = written(lists, "pivot-lists", "zstd")
     order = ["label", "dim", "pivot", "lo", "hi"]
-    pairs = in_block_pairs(lists, order[:3], "node", block).select(*order, "own", "node", "n", "nearest", "vec")
+    pairs = in_block_pairs(lists, order[:3], ["node", "vec"], block).select(*order, "own", "node", "n", "nearest", "vec")
     pairs = pairs.repartition(*order).sortWithinPartitions(*order)
-    links, path = written(pairs.mapInArrow(lambda it: links_in_blocks(it, width, shared, least), "a long, b long, n long"), "vector-links")
+    links, path = written(pairs.mapInArrow(lambda it: links_in_blocks(it, shared, least), "a long, b long, n long"), "vector-links")
     remove(spark, p)
     return links, path
 

@@ -48,16 +48,16 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> tuple[DataFr
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()), paths
 
 
-def in_block_pairs(lists: DataFrame, keys: list[str], member: str, block: int) -> DataFrame:
+def in_block_pairs(lists: DataFrame, keys: list[str], member: str | list[str], block: int) -> DataFrame:
     """Rows of candidate lists (the rows of equal keys), once for each pair of blocks that they belong to.
 
     Lists of one row go, having no pairs. Lists up to `block` rows become one block pair (0, 0). Longer ones are split by a
-    hash of the member into blocks of about that size, and every row is sent to each pair that its block is part of, so any two
+    hash of the member (one column, or several that tell rows apart) into blocks of about that size, and every row is sent to each pair that its block is part of, so any two
     rows of a list meet, and no task has to hold more than two blocks. Adds own, lo and hi (int).
     """
     sizes, _ = written(lists.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
     n = F.ceil(F.col("size") / F.lit(block)).cast("int")
-    rows = lists.join(sizes, keys).withColumn("blocks", n).withColumn("own", F.pmod(F.xxhash64(member), F.col("blocks")).cast("int"))
+    rows = lists.join(sizes, keys).withColumn("blocks", n).withColumn("own", F.pmod(F.xxhash64(*([member] if isinstance(member, str) else member)), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return rows.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("size", "blocks", "other")
 
