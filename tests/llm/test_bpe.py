@@ -2,10 +2,11 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tidemark.llm.bpe import SuffixAutomaton, decode_bpe, encode_bpe, op7_prefix_bpe, vocabulary, vocabulary_path
+from tidemark.llm.bpe import SuffixAutomaton, decode_bpe, digests, encode_bpe, op7_prefix_bpe, vocabulary, vocabulary_path
 
 PATH = vocabulary_path("word_bpe_49k.json")
 EDGES = [None, "", " \n\t", "It's we'll I'D", "<|endoftext|>", "a<|startoftext|>b <|endoftext|><|endoftext|> <|end", "İ ΑΣ Σ. \x85x\xa0y\x1cz w ẛ̣ é", "Ⅳ \xbd 3.14 x_y @@ --", "\U0001f600\U0001f469‍\U0001f4bb 中文あ", "aaaaaaaaaaaaaaaaaaaaaaaaa hahahahahahahaha ....!!!!!!????", "word " * 20000, "x" * 3000, "क्ष ١٢"]
@@ -49,6 +50,35 @@ def test_random_texts(library):
         assert np.frombuffer(vocabulary(PATH).encode(text), np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_batches(library, monkeypatch):
+    """Many texts at once, with every kind of white space, special tokens, nulls, and a memory that overflows."""
+    r = random.Random(5)
+    parts = ["word", "Word,", "it's", "12", "Ⅳ", "é", "中文", "\U0001f600", "<|endoftext|>", "<|", "ΑΣ", "a1"]
+    space = [" "] * 8 + ["  ", "\n", "\t", "\xa0", "\u2003", "\x85", "\x1c", "\x1f", "\u200b", ""]
+    texts = ["".join(r.choice(parts) + r.choice(space) for _ in range(r.randrange(12))) for _ in range(3000)] + EDGES
+    texts += [r.choice(space) + t for t in texts[:500]]
+    v = vocabulary(PATH)
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+    def same(step):
+        for lo in range(0, len(texts), step):
+            ids, ends = v.encode_all(pa.array(texts[lo : lo + step], pa.string()))
+            assert [x.tolist() for x in np.split(ids, ends)[:-1]] == want[lo : lo + step]
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(ids.view(np.int32)))
+            assert v.decode_all(lists).to_pylist() == [library.decode(x, skip_special_tokens=False) for x in want[lo : lo + step]]
+
+    same(10_000)
+    monkeypatch.setattr(type(v), "REMEMBERED", 50)
+    same(100)
+    assert v.decode_all(pa.array([None, [], [320]], pa.list_(pa.int32())).slice(1)).to_pylist() == ["", v.decode([320])]
+
+
+def test_digests_replace_columns(spark):
+    docs = spark.createDataFrame([(1, "a b", 5, "x"), (None, None, 5, "y")], "doc_id long, text string, N_tokens int, ids_sha256 string")
+    out = digests(docs, PATH)
+    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and sorted(r.n_tokens for r in out.collect()) == [0, 2]
+
+
 def test_random_words_from_tokens(library):
     r, tokens = random.Random(6), [t for t in library.get_vocab() if t.isascii() and t.removesuffix("</w>").isalpha()]
     for _ in range(5000):

@@ -16,14 +16,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.llm.common import q, table, without
+from tidemark.llm.common import bounded_batches, q, table, without
+from tidemark.llm.words import WordMemory, sliced
 
-#: Texts' pieces whose ids a worker remembers before it starts afresh.
-REMEMBERED = 800_000
+#: Pieces of words whose ids a worker remembers before it starts afresh.
+PIECES = 200_000
+#: Bytes of text that are encoded at once (one text at least).
+BATCH_BYTES = 8 << 20
 
 
 class SuffixAutomaton:
@@ -83,7 +87,7 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class WordBpe:
+class WordBpe(WordMemory):
     """A word-level BPE vocabulary file of the tokenizers library: NFC, white space to spaces, lower case; pieces by a
     pattern; bytes as letters; an end-of-word suffix. Other kinds are refused."""
 
@@ -116,8 +120,9 @@ class WordBpe:
         self.ids = list(spelled)
         self.automaton = SuffixAutomaton([spelled[t] for t in self.ids])
         self.stands = functools.lru_cache(1 << 18)(self.pair_stands)
-        self.known: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.spelled = pa.array([self.tokens.get(i) for i in range(max(self.tokens) + 1)], pa.string())
+        self._forget()
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
         """Tokens along a token's right (1) or left (0) edge from the symbol up, each with the rank of the merge that takes it in."""
@@ -188,7 +193,7 @@ class WordBpe:
         for piece in self.pattern.findall(x):
             ids = pieces.get(piece)
             if ids is None:
-                if len(pieces) >= REMEMBERED:
+                if len(pieces) >= PIECES:
                     pieces.clear()
                 ids = b"".join([i.to_bytes(4, "little") for i in self.encode_word(piece.encode())])
                 if len(piece) < 100:
@@ -196,31 +201,43 @@ class WordBpe:
             out.append(ids)
         return b"".join(out)
 
-    def _plain(self, text: str) -> list[bytes]:
-        # str.split also cuts at U+001C to U+001F, which aren't white space to the vocabulary's own rules.
-        chunks = text.split() if not re.search("[\x1c-\x1f]", text) else [x for x in regex.split(r"[\t-\r\x85\p{Z}]+", text) if x]
-        known = self.known
-        out = list(map(known.get, chunks))
-        if None in out:
-            for k, x in enumerate(out):
-                if x is None:
-                    if (x := known.get(chunks[k])) is None:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        x = self._chunk(chunks[k])
-                        if len(chunks[k]) < 100:
-                            known[chunks[k]] = x
-                    out[k] = x
-        return out
-
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian 32-bit words; the special tokens' strings in it are those tokens."""
-        if not text:
-            return b""
-        if "<|" not in text:
-            return b"".join(self._plain(text))
-        parts = self.special_pattern.split(text)
-        return b"".join(x for k, p in enumerate(parts) for x in ([self.special[p].to_bytes(4, "little")] if k % 2 else self._plain(p)))
+        out = []
+        for k, part in enumerate(self.special_pattern.split(text or "")):
+            if k % 2:
+                out.append(self.special[part].to_bytes(4, "little"))
+            else:  # str.split also cuts at U+001C to U+001F, which aren't white space to the vocabulary's own rules
+                out += [self._chunk(x) for x in regex.split(r"[\t-\r\x85\p{Z}]+", part) if x]
+        return b"".join(out)
+
+    def _asked(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        coded = [self._chunk(x) if x else b"" for x in new.to_pylist()]
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        return np.frombuffer(b"".join(coded), np.uint32), np.cumsum(size) - size, size
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, end of each text's); each distinct run without white space is encoded once."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        odd = pc.match_substring_regex(texts, "<\\||[\x1c-\x1f]")
+        lists = pc.utf8_split_whitespace(pc.if_else(odd, "", texts))
+        cut, coded = lists.offsets.to_numpy().astype(np.int64), lists.flatten().dictionary_encode()
+        place = self._rows(coded.dictionary)[coded.indices.to_numpy()]
+        whole = [np.frombuffer(self.encode(x), np.uint32) for x in texts.filter(odd).to_pylist()]
+        place[cut[:-1][odd.to_numpy(zero_copy_only=False)]] = len(self.start) + np.arange(len(whole))  # their one word is the empty one
+        return self._put(place, cut, whole)
+
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """The texts of lists of ids; null for null."""
+        sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+        offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int64))
+        words = self.spelled.take(ids.flatten())
+        if words.null_count:
+            raise KeyError("an id that is no token's")
+        texts = pc.binary_join(pa.LargeListArray.from_arrays(offsets, words), " ")
+        return pc.if_else(ids.is_valid(), texts, pa.nulls(len(ids), texts.type)).cast(pa.string())
 
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by spaces, as files without a decoder ask for."""
@@ -236,40 +253,42 @@ def vocabulary(path: str) -> WordBpe:
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, at: int, out: str) -> Iterator[pa.RecordBatch]:
     v = vocabulary(path)
     for batch in batches:
-        for lo in range(0, batch.num_rows, 512):
-            part = batch.slice(lo, 512)
-            ids = [v.encode(t.as_py()) for t in part.column(at)]
-            offsets = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+        for part in sliced(batch, at, BATCH_BYTES):
+            ids, ends = v.encode_all(part.column(at))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(ids.view(np.int32)))
             yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, out])
+            pa.default_memory_pool().release_unused()
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], path: str, at: int, out: str) -> Iterator[pa.RecordBatch]:
     v = vocabulary(path)
     for batch in batches:
-        for lo in range(0, batch.num_rows, 512):
-            part = batch.slice(lo, 512)
-            texts = pa.array([None if not x.is_valid else v.decode(x.values.to_pylist()) for x in part.column(at)], pa.string())
-            yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*part.schema.names, out])
+        for lo in range(0, batch.num_rows, 4096):
+            part = batch.slice(lo, 4096)
+            yield pa.RecordBatch.from_arrays([*part.columns, v.decode_all(part.column(at))], names=[*part.schema.names, out])
 
 
 def encode_bpe(docs: DataFrame, path: str, *, text_col: str = "text", out: str = "ids") -> DataFrame:
     """docs with out, the array of ids of each whole text (null or empty: an empty array). path is read by each worker
-    and so has to be there on every machine. A column named like out is replaced; all others stay; nothing is shuffled."""
+    and so has to be there on every machine. A column named like out is replaced; all others stay; nothing is shuffled. Texts are taken
+    whole, of any length; repeated rows and ids, null ones too, are rows of their own, and an empty table gives an empty result."""
+    bounded_batches(docs.sparkSession)
     docs = without(docs, out)
     at, schema = docs.columns.index(text_col), T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
     return docs.mapInArrow(lambda it: _encoded(it, path, at, out), schema)
 
 
 def decode_bpe(df: DataFrame, path: str, *, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """df with out, the text that the ids stand for (null ids: null)."""
+    """df with out, the text that the ids stand for (null ids: null; none: an empty text). An id that is no token's is an error. Columns as with encode_bpe."""
+    bounded_batches(df.sparkSession)
     df = without(df, out)
     at, schema = df.columns.index(ids_col), T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
     return df.mapInArrow(lambda it: _decoded(it, path, at, out), schema)
 
 
 def round_trip(docs: DataFrame, path: str, *, text_col: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """encode_bpe and decode_bpe in one pass, by one worker with one vocabulary."""
+    """encode_bpe and decode_bpe in one pass, by one worker with one vocabulary; rows and columns as with these."""
+    bounded_batches(docs.sparkSession)
     docs = without(docs, ids, decoded)
     at, n = docs.columns.index(text_col), len(docs.columns)
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())])
@@ -277,7 +296,11 @@ def round_trip(docs: DataFrame, path: str, *, text_col: str = "text", ids: str =
 
 
 def digests(docs: DataFrame, path: str, *, text_col: str = "text") -> DataFrame:
-    """docs without its text, with n_tokens (long), ids_sha256 and decoded_sha256: encoded and decoded in one pass, so the ids don't cross to the JVM."""
+    """docs without its text, with n_tokens (long), ids_sha256 and decoded_sha256: encoded and decoded in one pass, so the ids don't cross to the JVM.
+
+    Columns of these names in the input are replaced; rows as with encode_bpe."""
+    bounded_batches(docs.sparkSession)
+    docs = without(docs, *({"n_tokens", "ids_sha256", "decoded_sha256"} - {text_col}))
     docs = docs.select(*[q(c) for c in docs.columns if c != text_col], q(text_col))
     n = len(docs.columns) - 1
     schema = T.StructType([*docs.schema.fields[:n], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
@@ -286,8 +309,9 @@ def digests(docs: DataFrame, path: str, *, text_col: str = "text") -> DataFrame:
         from hashlib import sha256
 
         for b in _decoded(_encoded(batches, path, n, "ids"), path, n + 1, "decoded"):
-            ids = [x.values.to_numpy().tobytes() for x in b.column(n + 1)]
-            columns = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([sha256(x).hexdigest() for x in ids]), pa.array([sha256(x.as_py().encode()).hexdigest() for x in b.column(n + 2)])]
+            cut, ids = b.column(n + 1).offsets.to_numpy(), memoryview(b.column(n + 1).values.to_numpy().view(np.uint8))
+            shas = [sha256(ids[4 * x : 4 * y]).hexdigest() for x, y in zip(cut[:-1].tolist(), cut[1:].tolist())]
+            columns = [pa.array(np.diff(cut).astype(np.int64)), pa.array(shas, pa.string()), pa.array([sha256(x).hexdigest() for x in b.column(n + 2).cast(pa.binary()).to_pylist()], pa.string())]
             yield pa.RecordBatch.from_arrays([*b.columns[:n], *columns], names=schema.names)
 
     return docs.mapInArrow(digest, schema)

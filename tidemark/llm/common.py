@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
 import tempfile
 import uuid
 
@@ -53,16 +52,12 @@ def written(df: DataFrame, name: str, compression: str = "uncompressed") -> tupl
     return spark.read.schema(df.schema).parquet(path), path
 
 
-@contextlib.contextmanager
-def arrow_batches(spark: SparkSession, size: int = 8 << 20):
-    """Within it, batches to Python hold about so many bytes (one row at least), whatever the rows' length: of long texts, the usual 10,000 rows are too many."""
+def bounded_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Has batches to Python hold about so many bytes (one row at least), if the session doesn't say otherwise: of long texts, the usual 10,000 rows are too many."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(size))
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    now = spark.conf.get(key, None)
+    if not now or not now.isdigit() or int(now) > 64 << 20:
+        spark.conf.set(key, str(size))
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:

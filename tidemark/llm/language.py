@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import q, remove, table, without, written
+from tidemark.llm.common import bounded_batches, q, remove, table, without, written
+from tidemark.llm.words import sliced
 
 #: Bytes of the longest contexts.
 ORDER = 5
@@ -186,15 +187,6 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return data, np.cumsum(sizes) - sizes
 
 
-def sliced(batch: pa.RecordBatch, at: int, size: int = TOGETHER) -> Iterator[pa.RecordBatch]:
-    """Runs of a batch's rows of about so many bytes in the given column."""
-    run = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // size
-    bounds = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
-    for lo, hi in zip(bounds, bounds[1:]):
-        if hi > lo:
-            yield batch.slice(lo, hi - lo)
-
-
 def coded(texts: pa.Array) -> list[bytes]:
     return pc.fill_null(texts.cast(pa.large_string()), "").cast(pa.large_binary()).to_pylist()
 
@@ -214,7 +206,7 @@ def count_contexts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "
             return pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(code), np.int64))), pa.array(code.astype(np.int64)), pa.array(n)], names=["lang", "code", "n"])
 
         for batch in batches:
-            for part in sliced(batch, 0):
+            for part in sliced(batch, 0, TOGETHER):
                 langs = part.column(1).to_numpy(zero_copy_only=False)
                 for lang in sorted(set(langs.tolist())):
                     texts = coded(part.column(0).filter(pa.array(langs == lang)))
@@ -241,6 +233,7 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", mi
     Null texts and languages don't count, nor do empty texts. Repeated rows count each. A language whose name has any case or space is its own.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     full, path = written(count_contexts(docs, text_col=text_col, lang_col=lang_col), "contexts")
     sizes = {r.lang: r.n for r in full.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # one row a language
     languages = sorted(sizes)
@@ -268,13 +261,14 @@ def identify(docs: DataFrame, trees: ContextTrees, *, text_col: str = "text") ->
     id and other columns play no part, so null and repeated ids are rows like any other. An empty table gives an empty result.
     """
     docs = without(docs, "lang_pred", "score")
+    bounded_batches(docs.sparkSession)
     at, names = docs.columns.index(text_col), [*docs.columns, "lang_pred", "score"]
     sent = docs.sparkSession.sparkContext.broadcast(trees)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = sent.value
         for batch in batches:
-            for b in sliced(batch, at):
+            for b in sliced(batch, at, TOGETHER):
                 told = np.array([bool(t.languages) and x is not None and any(map(str.isalpha, x)) for x in b.column(at).to_pylist()], bool)
                 lang, p = np.full(b.num_rows, UNKNOWN, object), np.zeros(b.num_rows)
                 if told.any():

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import ASCII_SPACE, q, remove, table, unused, without, written
+from tidemark.llm.common import ASCII_SPACE, bounded_batches, q, remove, table, unused, without, written
 
 #: Distinct lines a shard holds on average: about four bytes each.
 SHARD_KEYS = 1 << 20
@@ -187,6 +187,7 @@ def drop_common_lines(docs: DataFrame, *, text_col: str = "text", min_docs: int
     """
     docs = without(docs, "n_lines", "n_dropped")
     spark = docs.sparkSession
+    bounded_batches(spark)
     index, shards, path = build_index(docs, text_col=text_col, min_docs=min_docs, min_chars=min_chars, shard_keys=shard_keys)
     length = index.agg(F.sum(F.length("bits") + F.length("prints") + F.length("counts"))).first()[0] or 0
     kind, names, at = counters(min_docs), docs.columns, docs.columns.index(text_col)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import q, remove, table, unused, without, written
+from tidemark.llm.common import bounded_batches, q, remove, table, unused, without, written
 
 #: Labelled rows that the logistic model is fitted on, at most: those whose ids have the least hashes.
 FIT_ROWS = 20_000
@@ -133,6 +133,7 @@ def classify(docs: DataFrame, model: Logistic, host: Column, path: Column, *, te
     sums by site are shuffled, added up within each task first, and the documents' own columns to meet them, in pieces where a site is hot.
     """
     new = ("evidence", "host_rate", "path_rate", "quality_score", "kept")
+    bounded_batches(docs.sparkSession)
     h, p = unused(docs, "host", "path")
     docs = docs.withColumn(h, host.cast("string")).withColumn(p, path.cast("string"))
     low = {n.lower() for n in new}

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import arrow_batches, q, remove, scratch_path, table, unused, without, written
+from tidemark.llm.common import bounded_batches, q, remove, scratch_path, table, unused, without, written
 
 #: Bytes of text (and one a row) that a bucket holds on average.
 BUCKET_BYTES = 24 << 20
@@ -120,8 +120,8 @@ def shuffle_into_shards(docs: DataFrame, path: str, *, shards: int = 16, seed: i
     schema = T.StructType([*docs.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
     tasks = min(buckets, partitions)
     ordered = rows.repartitionById(tasks, F.floor(q(b) * F.lit(tasks) / F.lit(buckets)).cast("int")).sortWithinPartitions(q(b), q(h), q(id_col), q(text_col))
-    with arrow_batches(spark):
-        ordered.select(*[q(c) for c in names], b, n).mapInArrow(second_pass, schema).write.partitionBy("shard").parquet(path)
+    bounded_batches(spark)
+    ordered.select(*[q(c) for c in names], b, n).mapInArrow(second_pass, schema).write.partitionBy("shard").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import q, remove, table, unused, without, written
+from tidemark.llm.common import bounded_batches, q, remove, table, unused, without, written
 from tidemark.llm.graphs import connected_components, forest, in_block_pairs, runs
 
 #: Bits of the five segments, from the lowest.
@@ -72,6 +72,7 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, out: str, *, text_col: str = "text", width: int = 3, keep: list[str] | None = None) -> DataFrame:
     """docs' columns (or those in keep) and `out`, the fingerprint as a signed long. Null and wordless texts have zero."""
+    bounded_batches(docs.sparkSession)
     keep = docs.columns if keep is None else keep
     source = docs.select(*[q(c) for c in keep], *([] if text_col in keep else [q(text_col)]))
     at = source.columns.index(text_col)

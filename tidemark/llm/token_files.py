@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.bpe import byte_letters, vocabulary_path
-from tidemark.llm.common import arrow_batches, q, remove, scratch_path, table, written
+from tidemark.llm.common import bounded_batches, q, remove, scratch_path, table, written
+from tidemark.llm.words import WordMemory, sliced, taken
 
 MAGIC = b"TDM-S8B1"
 BLOCK = 256
@@ -197,18 +198,7 @@ def read_file(path: str) -> Iterator[tuple[int | None, int, np.ndarray]]:
                 held, base = held[start - base :], start
 
 
-def taken(flat: np.ndarray, start: np.ndarray, size: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The runs flat[start[k] : start[k] + size[k]] for each k of at, one after the other."""
-    out = [np.zeros(0, flat.dtype)]
-    for lo in range(0, len(at), 1 << 18):  # its numbers are many times the ids
-        part = at[lo : lo + (1 << 18)]
-        n = size[part]
-        ends = np.cumsum(n)
-        out.append(flat[np.repeat(start[part] - ends + n, n) + np.arange(ends[-1])])
-    return np.concatenate(out)
-
-
-class Encoder:
+class Encoder(WordMemory):
     """The tokenizers library's ids of whole texts.
 
     The vocabulary's own rule cuts a text into pieces that are encoded each on its own, and it always cuts before a single space
@@ -217,8 +207,8 @@ class Encoder:
     string go to the library whole. Words and ids are kept as arrays, not as Python's objects.
     """
 
-    #: Words that are remembered before it starts afresh, and words of one call.
-    REMEMBERED, AT_ONCE = 800_000, 64
+    #: Words of one call.
+    AT_ONCE = 64
     #: Signs that are a piece of their own after letters.
     SIGNS = ".,;:!?)"
 
@@ -239,10 +229,6 @@ class Encoder:
         self.cut = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{space}\p{{L}}\p{{N}}]+|[{space}]+(?![^{space}])|[{space}]+").findall
         self._forget()
 
-    def _forget(self) -> None:
-        self.words = pa.array([], pa.large_string())
-        self.flat, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
     def _from_letters(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of each) of words given as bytes with both marks; ends: where each word's bytes end."""
         cuts = [0, *ends[self.AT_ONCE - 1 :: self.AT_ONCE].tolist()]
@@ -298,21 +284,6 @@ class Encoder:
         start[plain], start[~plain] = np.cumsum(n) - n, len(ids) + np.cumsum(other) - other
         return np.concatenate((ids, other_ids)), start, count
 
-    def _rows(self, found: pa.Array) -> np.ndarray:
-        """Where the words are kept; new ones are added."""
-        at = pc.index_in(found, value_set=self.words)
-        new = found.filter(pc.is_null(at))
-        if len(self.words) + len(new) > self.REMEMBERED:
-            self._forget()
-            at, new = pa.nulls(len(found), pa.int32()), found
-        ids, start, size = self._asked(new)
-        row = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        row[row < 0] = len(self.words) + np.arange(len(new))
-        self.words = pa.concat_arrays([self.words, new])
-        self.start, self.size = np.concatenate((self.start, start + len(self.flat))), np.concatenate((self.size, size))
-        self.flat = np.concatenate((self.flat, ids))
-        return row
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, end of each text's); a null text has none.
 
@@ -335,32 +306,21 @@ class Encoder:
         first = np.unique(at[heads[~odd]])
         ids, size = self._pieced([*found.take(pa.array(first)).to_pylist(), *texts.filter(pa.array(odd & ~special)).to_pylist()])
         whole = [np.array(x.ids, np.uint32) for x in self.library.encode_batch_fast(texts.filter(pa.array(special)).to_pylist(), add_special_tokens=False)]
-        size = np.concatenate((size, [len(x) for x in whole], [0])).astype(np.int64)
-        flat = np.concatenate((self.flat, ids, *whole))
-        start, size = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size)), np.concatenate((self.size, size))
-        kept = len(self.start)
+        more = [*np.split(ids, np.cumsum(size))[:-1], *whole, np.zeros(0, np.uint32)]
+        kept, n_odd = len(self.start), int((odd & ~special).sum())
         place = row[at]
         place[heads[~odd]] = kept + np.searchsorted(first, at[heads[~odd]])
         if odd.any():
-            place[np.repeat(odd, np.diff(cut))] = len(size) - 1
-            place[heads[odd & ~special]] = kept + len(first) + np.arange((odd & ~special).sum())
-            place[heads[special]] = kept + len(first) + (odd & ~special).sum() + np.arange(special.sum())
-        return taken(flat, start, size, place), np.cumsum(size[place])[cut[1:] - 1]
+            place[np.repeat(odd, np.diff(cut))] = kept + len(more) - 1
+            place[heads[odd & ~special]] = kept + len(first) + np.arange(n_odd)
+            place[heads[special]] = kept + len(first) + n_odd + np.arange(special.sum())
+        return self._put(place, cut, more)
 
 
 #: Bytes of text that are encoded at once (one text at least).
 BATCH_BYTES = 8 << 20
 
 
-def sliced(batch: pa.RecordBatch, at: int, size: int) -> Iterator[pa.RecordBatch]:
-    """Runs of a batch's rows of about so many bytes in the given column."""
-    bytes_ = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
-    run = np.cumsum(bytes_, dtype=np.int64) // size
-    bounds = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
-    for lo, hi in zip(bounds, bounds[1:]):
-        yield batch.slice(lo, hi - lo)
-
-
 @functools.lru_cache(2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
@@ -405,8 +365,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, *, end_id: in
             w.close()
             yield pa.RecordBatch.from_pylist([{"part": task.partitionId(), "file": name, "n_docs": len(w.ids), "n_ids": w.n}], schema=pa.schema([("part", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
-    with arrow_batches(spark, BATCH_BYTES):
-        ordered.mapInArrow(write, MANIFEST).write.parquet(f"{path}/manifest")
+    bounded_batches(spark)
+    ordered.mapInArrow(write, MANIFEST).write.parquet(f"{path}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
 
 
