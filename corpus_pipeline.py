@@ -42,8 +42,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates, that of smallest id (nulls last; ties by text hash, then the other columns): 5-word shingles, Jaccard 0.8 or more.
 
-    No radius of a 64-bit SimHash is without loss at that similarity, so candidates come from the shingles themselves.
-    The stage keeps its name; op4's fingerprints and 3 bits are those of the query op4 only. Null and wordless texts are one group. Null
+    Candidates come from SimHashes of the shingle sets by pivot tables (up to 12 of 64 bits) and are verified on the whole sets. No radius
+    is without loss at that similarity, so the shingles themselves complete the links among texts that don't hang together yet.
+    op4's fingerprints and 3 bits are those of the query op4 only. Null and wordless texts are one group. Null
     and repeated ids are rows like any other; rows equal in all columns leave one. Texts of any length are compared whole;
     other columns go; an empty table stays empty.
     """

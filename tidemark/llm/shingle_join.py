@@ -1,16 +1,19 @@
-"""Near-duplicates by the Jaccard similarity of word shingles, without loss.
+"""Near-duplicates by SimHash and the Jaccard similarity of word shingles, without loss.
 
-A text is the set of the XXH64 values of its `width`-word shingles (a text of fewer words is one shingle). Put the shingles
-of all texts in one order, those of fewest texts first. Two sets of a similarity of t or more then share a shingle among
+A text is the set of the XXH64 values of its `width`-word shingles (a text of fewer words is one shingle). Texts are first
+paired by the SimHash of their sets (simhash.wide_pairs: pivot tables, up to 12 of 64 bits), and the pairs verified
+on the whole sets. No number of bits is sure to reach every pair of a similarity, so what is left is looked for by the
+shingles, among texts that don't hang together yet. Put the shingles of all texts in one order, those of fewest texts first. Two sets of a similarity of t or more then share a shingle among
 the first n - ceil(t n) + 1 of each (n: its size), whatever the order is; with rare ones first, few others do. So:
 
 - occurrences of shingles go to buckets by hash, packed by batch of rows; a bucket counts its shingles and sends back those
   found in several rows, and each batch puts its rows' shingles in order;
 - rows are listed under the first shingles of their sets, equal sets as one row; lists of one row go;
-- a pair of a list is discarded by the sizes, or if the places of the shingle leave too little to share;
+- a pair of a list is discarded by the sizes, or if the places of the shingle leave too little to share, or (in the last step)
+  if the sets' parity maps differ in more bits than the sets may in shingles;
 - survivors are verified on the whole sets.
 
-Crowds of near copies are joined first by the neighbours in each list (by size) and the list's first row; lists whose
+Crowds of near copies that SimHash left apart are joined first by the neighbours in each list (by size) and the list's first row; lists whose
 rows then hang together already need no more pairs, and of the others only pairs across components are worked.
 """
 
@@ -30,6 +33,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import bounded_batches, q, remove, unused, without, written
 from tidemark.llm.graphs import connected_components, in_block_pairs, runs
+from tidemark.llm.simhash import fingerprint_of, signed, wide_pairs
 
 #: Shingles of a bucket, about: a task holds one bucket at a time.
 BUCKET = 1_000_000
@@ -37,8 +41,10 @@ BUCKET = 1_000_000
 BATCH, HELD = 4096, 1 << 19
 #: Entries of a block of a long list.
 BLOCK = 512
-#: Pairs that a task compares at once.
-CHUNK = 1 << 16
+#: Pairs that a task compares at once, and by their parity maps.
+CHUNK, MAPS = 1 << 16, 1 << 12
+#: Bits of a parity map: enough to tell sets of up to some 2,500 shingles apart; pairs of larger ones are left to the verification.
+MAP = 2048
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:
@@ -52,21 +58,33 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(42)), np.uint64, len(words) - width + 1))
 
 
-def described(docs: DataFrame, names: tuple[str, str, str], text_col: str, width: int) -> DataFrame:
-    """docs with a row key, the number of shingles and a hash of their set, named as in names."""
-    row, size, key = names
+def parity_map(s: np.ndarray) -> bytes:
+    """MAP bits, each whether the number of hashes that fall on it is odd. Maps differ in as many bits as their sets do in hashes, or in fewer."""
+    n = np.bincount((s % np.uint64(MAP)).astype(np.int64), minlength=MAP)
+    return np.packbits((n & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def mapped(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """(row, text) -> (row, map): the parity maps of texts."""
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([parity_map(shingles(t.as_py(), width)) for t in b.column(1)], pa.binary())], names=["row", "map"])
+
+
+def described(docs: DataFrame, names: tuple[str, str, str, str], text_col: str, width: int) -> DataFrame:
+    """docs with a row key, the number of shingles, a hash of their set and its SimHash (none: zero), named as in names."""
+    row, size, key, fp = names
     source = docs.withColumn(row, F.monotonically_increasing_id())
-    at, columns = source.columns.index(text_col), [*source.columns, size, key]
+    at, columns = source.columns.index(text_col), [*source.columns, size, key, fp]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, h = np.zeros(b.num_rows, np.int32), np.zeros(b.num_rows, np.uint64)
+            n, h, f = np.zeros(b.num_rows, np.int32), np.zeros(b.num_rows, np.uint64), np.zeros(b.num_rows, np.int64)
             for i, t in enumerate(b.column(at)):
                 s = shingles(t.as_py(), width)
-                n[i], h[i] = len(s), xxhash.xxh64_intdigest(s.tobytes(), 42)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n), pa.array(h.view(np.int64))], names=columns)
+                n[i], h[i], f[i] = len(s), xxhash.xxh64_intdigest(s.tobytes(), 42), signed(fingerprint_of(s))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n), pa.array(h.view(np.int64)), pa.array(f)], names=columns)
 
-    return source.mapInArrow(of, T.StructType([*source.schema, T.StructField(size, T.IntegerType()), T.StructField(key, T.LongType())]))
+    return source.mapInArrow(of, T.StructType([*source.schema, T.StructField(size, T.IntegerType()), T.StructField(key, T.LongType()), T.StructField(fp, T.LongType())]))
 
 
 def packed(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -175,12 +193,13 @@ def enough(size_a: np.ndarray, place_a: np.ndarray, size_b: np.ndarray, place_b:
 
 
 def pairs_in_blocks(batches: Iterator[pa.RecordBatch], least: Fraction) -> Iterator[pa.RecordBatch]:
-    """Rows (shingle, lo, hi, own, row, total, place, component) in order of the first three -> (a, b), pairs of rows of two components to verify."""
+    """Rows (shingle, lo, hi, own, row, total, place, component, map) in order of the first three -> (a, b), pairs of rows of two components to verify."""
     left: pa.Table | None = None
     keys = ("shingle", "lo", "hi")
 
     def work(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        x = {c: t[c].to_numpy().astype(np.int64) for c in t.column_names}
+        x = {c: t[c].to_numpy().astype(np.int64) for c in t.column_names if c != "map"}
+        maps = np.frombuffer(b"".join(t["map"].to_pylist()), np.uint64).reshape(len(t), -1)
         bounds = runs([x[k] for k in keys])
         run = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         live = np.arange(len(run))
@@ -193,6 +212,11 @@ def pairs_in_blocks(batches: Iterator[pa.RecordBatch], least: Fraction) -> Itera
                 ok = (x["component"][i] != x["component"][j]) & ((x["lo"][i] == x["hi"][i]) | (x["own"][i] != x["own"][j]))
                 i, j = i[ok], j[ok]
                 ok = enough(x["total"][i], x["place"][i], x["total"][j], x["place"][j], least)
+                i, j = i[ok], j[ok]
+                differ = np.zeros(len(i), np.int64)
+                for at in range(0, len(i), MAPS):
+                    differ[at : at + MAPS] = np.bitwise_count(maps[i[at : at + MAPS]] ^ maps[j[at : at + MAPS]]).sum(axis=1, dtype=np.int64)
+                ok = differ * (least.denominator + least.numerator) <= (x["total"][i] + x["total"][j]) * (least.denominator - least.numerator)
                 a, b = x["row"][i[ok]], x["row"][j[ok]]
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
@@ -246,12 +270,17 @@ def listed(docs: DataFrame, nodes: DataFrame, width: int, least: Fraction) -> tu
     return written(out.join(nodes.select("row"), "row", "left_semi").select("shingle", "row", "size", "place"), "first-shingles")
 
 
+def with_component(entries: DataFrame, joined: DataFrame) -> DataFrame:
+    """entries with the component of their rows, that of a row without links being itself."""
+    return entries.join(joined.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
+
+
 def near_copies(docs: DataFrame, *, text_col: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:
     """docs' columns with row (long, a key of the row) and component (long), the smallest row reachable over links.
 
     Texts link if the Jaccard similarity of their sets of `width`-word shingles is `least` or more (words are parted by ASCII
-    white space, ASCII letters lowered); so do all texts without words, null or not. Every such link counts: no list is cut,
-    and no pair is left to chance but for equal 64-bit hashes. Ids take no part. Columns of the two names in the input are
+    white space, ASCII letters lowered); so do all texts without words, null or not. Every such link counts: what SimHash can't reach is found by
+    the shingles, no list is cut, and no pair is left to chance but for equal 64-bit hashes. Ids take no part. Columns of the two names in the input are
     replaced. The columns are written once to the shared folder.
     """
     t = Fraction(str(least))
@@ -260,31 +289,43 @@ def near_copies(docs: DataFrame, *, text_col: str = "text", width: int = 5, leas
     docs = without(docs, "row", "component")
     spark = docs.sparkSession
     bounded_batches(spark)
-    size, key = unused(docs, "size", "key")
-    known, _ = written(described(docs, ("row", size, key), text_col, width), "described", "zstd")
-    slim = known.select("row", F.col(size).alias("size"), F.col(key).alias("key"))
-    nodes, p_nodes = written(slim.groupBy("key").agg(F.min("row").alias("row")), "nodes")
+    size, key, fp = unused(docs, "size", "key", "fp")
+    known, _ = written(described(docs, ("row", size, key, fp), text_col, width), "described", "zstd")
+    slim = known.select("row", F.col(size).alias("size"), F.col(key).alias("key"), F.col(fp).alias("fp"))
+    nodes, p_nodes = written(slim.groupBy("key").agg(F.min(F.struct("row", "size", "fp")).alias("x")).select("key", "x.*"), "nodes")
     texts = known.select("row", q(text_col).alias("text"))
+
+    # Near ones by SimHash.
+    pairs, p_wide = wide_pairs(nodes.select("row", "fp", "size"), t)
+    near, p_near = verified(pairs, texts, width, t)
+    joined, p_joined = connected_components(near)
+
+    # The rest by shingles.
     entries, p_entries = listed(known.select("row", q(text_col).alias("text"), F.col(size).alias("size")), nodes, width, t)
 
     # Neighbours by size in each list and its first row.
-    in_list = "shingle ORDER BY size, row"
-    near = entries.selectExpr("row", "size", "place", *[f"{f}({c}) OVER (PARTITION BY {in_list}) AS {f}_{c}" for f in ("lag", "first") for c in ("row", "size", "place")])
-    found = [near.select("row", "size", "place", *[F.col(f"{f}_{c}").alias(f"o_{c}") for c in ("row", "size", "place")]) for f in ("lag", "first")]
+    in_list, columns = "shingle ORDER BY size, row", ("row", "size", "place", "component")
+    beside = with_component(entries, joined).selectExpr(*columns, *[f"{f}({c}) OVER (PARTITION BY {in_list}) AS {f}_{c}" for f in ("lag", "first") for c in columns])
+    found = [beside.select(*columns, *[F.col(f"{f}_{c}").alias(f"o_{c}") for c in columns]) for f in ("lag", "first")]
     share = F.least(F.col("size") - F.col("place"), F.col("o_size") - F.col("o_place"))
-    some = found[0].unionByName(found[1]).where((F.col("row") != F.col("o_row")) & (share * (t.denominator + t.numerator) >= (F.col("size") + F.col("o_size")) * t.numerator))
-    links, p_links = verified(some.select(F.least("row", "o_row").alias("a"), F.greatest("row", "o_row").alias("b")), texts, width, t)
+    some = found[0].unionByName(found[1]).where((F.col("component") != F.col("o_component")) & (share * (t.denominator + t.numerator) >= (F.col("size") + F.col("o_size")) * t.numerator))
+    beside, p_beside = verified(some.select(F.least("row", "o_row").alias("a"), F.greatest("row", "o_row").alias("b")), texts, width, t)
+    remove(spark, *p_wide, *p_joined)
+    links = near.unionByName(beside)
     joined, p_joined = connected_components(links)
 
     # What is left: pairs across components.
-    entries, p_open = written(entries.join(joined.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row")), "open")
+    entries, p_open = written(with_component(entries, joined), "open")
     several = entries.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("shingle")
+    entries, p_several = written(entries.withColumnRenamed("size", "total").join(several, "shingle", "left_semi"), "several")
+    rows, p_rows = written(entries.select("row").distinct(), "rows")
+    maps, p_maps = written(texts.join(rows, "row", "left_semi").mapInArrow(lambda it: mapped(it, width), "row long, map binary"), "maps", "zstd")
     order = ["shingle", "lo", "hi"]
-    blocks = in_block_pairs(entries.withColumnRenamed("size", "total").join(several, "shingle", "left_semi"), ["shingle"], "row", BLOCK).select(*order, "own", "row", "total", "place", "component")
+    blocks = in_block_pairs(entries, ["shingle"], "row", BLOCK).join(maps, "row").select(*order, "own", "row", "total", "place", "component", "map")
     pairs = blocks.repartition(*order).sortWithinPartitions(*order).mapInArrow(lambda it: pairs_in_blocks(it, t), "a long, b long")
     more, p_more = verified(pairs, texts, width, t)
     all_, p_all = connected_components(links.unionByName(more))
 
-    classes, _ = written(slim.join(nodes.withColumnRenamed("row", "node"), "key").join(all_, "node", "left").select("row", F.coalesce("component", "node").alias("component")), "classes")
-    remove(spark, p_nodes, p_entries, *p_links, *p_joined, p_open, *p_more, *p_all)
-    return known.drop(size, key).join(classes, "row").select(*[q(c) for c in docs.columns], "row", "component")
+    classes, _ = written(slim.select("row", "key").join(nodes.select("key", F.col("row").alias("node")), "key").join(all_, "node", "left").select("row", F.coalesce("component", "node").alias("component")), "classes")
+    remove(spark, p_nodes, p_entries, *p_near, *p_beside, *p_joined, p_open, p_several, p_rows, p_maps, *p_more, *p_all)
+    return known.drop(size, key, fp).join(classes, "row").select(*[q(c) for c in docs.columns], "row", "component")

@@ -12,11 +12,15 @@ most. So, for links at 3 bits or fewer:
 
 Equal fingerprints are one entry before any list is made. Long lists are worked in blocks (graphs.in_block_pairs), and a
 block gives back a forest of its links, not its pairs.
+
+wide_pairs searches farther with the same tables, for pairs that are verified on more than their fingerprints: eight segments, two of
+which agree, find all pairs of 6 bits and most up to REACH (12).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 from itertools import combinations, repeat
 
 import numpy as np
@@ -35,11 +39,13 @@ SEGMENTS = (13, 13, 13, 13, 12)
 REFERENCES = 16
 #: Entries of a block of a long list: a task holds two at a time.
 BLOCK = 128
+#: Wide searches: bits of the segments, those that have to agree, bits apart at most, and entries of a block.
+WIDE, AGREE, REACH, WIDE_BLOCK = (8,) * 8, 2, 12, 512
 
 
-def masks() -> list[int]:
+def masks(segments: tuple[int, ...] = SEGMENTS) -> list[int]:
     at, out = 0, []
-    for n in SEGMENTS:
+    for n in segments:
         out.append(((1 << n) - 1) << at)
         at += n
     return out
@@ -62,7 +68,11 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     if len(words) <= width:
         return xxhash.xxh64_intdigest(b" ".join(words), 42)
     shingles = map(b" ".join, zip(*(words[i:] for i in range(width))))
-    h = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), np.uint64, len(words) - width + 1)
+    return fingerprint_of(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), np.uint64, len(words) - width + 1))
+
+
+def fingerprint_of(h: np.ndarray) -> int:
+    """SimHash of 64-bit hashes: a bit is 1 if set in over half of them."""
     set_bits = np.zeros(64, np.int64)
     for lo in range(0, len(h), 65536):
         bits = np.unpackbits(h[lo : lo + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -85,10 +95,10 @@ def fingerprints(docs: DataFrame, out: str, *, text_col: str = "text", width: in
     return source.mapInArrow(of, T.StructType([*[source.schema[c] for c in keep], T.StructField(out, T.LongType())]))
 
 
-def coordinates(fp: np.ndarray) -> np.ndarray:
+def coordinates(fp: np.ndarray, segments: tuple[int, ...] = SEGMENTS) -> np.ndarray:
     """The pivot table of fingerprints: (n, segments, references)."""
     r = np.array(references(), np.uint64)
-    return np.stack([np.bitwise_count((fp[:, None] ^ r) & np.uint64(m)) for m in masks()], axis=1).astype(np.int8)
+    return np.stack([np.bitwise_count((fp[:, None] ^ r) & np.uint64(m)) for m in masks(segments)], axis=1).astype(np.int8)
 
 
 def listed(fps: DataFrame) -> DataFrame:
@@ -143,6 +153,91 @@ def links_in_blocks(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa
         yield work(left)
 
 
+def wide_lists(fps: DataFrame) -> DataFrame:
+    """fps (row, fp, size) under the lists of each: (pair, at, row, fp, total), `at` the hash of the pivot coordinates of AGREE of the wide segments, total the size."""
+    seg = [F.xxhash64(*[F.bit_count(F.col("fp").bitwiseXOR(F.lit(signed(r))).bitwiseAND(F.lit(signed(m)))) for r in references()]) for m in masks(WIDE)]
+    known = fps.select("row", "fp", "size", *[s.alias(f"s{i}") for i, s in enumerate(seg)])
+    lists = F.array(*[F.struct(F.lit(i).cast("tinyint").alias("pair"), F.xxhash64(*[f"s{k}" for k in some]).alias("at")) for i, some in enumerate(combinations(range(len(WIDE)), AGREE))])
+    return known.select("row", "fp", "size", F.explode(lists).alias("x")).select("x.pair", "x.at", "row", "fp", F.col("size").alias("total"))
+
+
+def spanning(n: int, i: np.ndarray, j: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Places of those of the links i-j of n nodes that span what hangs together, the nearest first."""
+    root, picked = np.arange(n), [np.zeros(0, int)]
+    for d in np.unique(far):
+        at = np.flatnonzero(far == d)
+        while len(at := at[root[i[at]] != root[j[at]]]):
+            a, b = root[i[at]], root[j[at]]
+            hi, lo = np.maximum(a, b), np.minimum(a, b)
+            np.minimum.at(root, hi, lo)
+            hooks = np.flatnonzero(root[hi] == lo)
+            picked.append(at[hooks[np.unique(hi[hooks], return_index=True)[1]]])
+            while (root != (r := root[root])).any():
+                root = r
+    return np.concatenate(picked)
+
+
+def near_in_blocks(batches: Iterator[pa.RecordBatch], least: Fraction) -> Iterator[pa.RecordBatch]:
+    """Rows (pair, at, lo, hi, own, row, fp, total) in order of the first four -> (a, b), pairs that span those REACH or fewer bits apart and of sizes not too far apart."""
+    names = ("pair", "at", "lo", "hi", "own", "row", "fp", "total")
+    left: list[np.ndarray] | None = None
+
+    def work(x: list[np.ndarray]) -> pa.RecordBatch:
+        bounds = runs(x[:4])
+        run = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        own, fp, size, cross = x[4], x[6].view(np.uint64), x[7].astype(np.int64), x[2] != x[3]
+        table_ = coordinates(fp, WIDE)
+        found_i, found_j = [np.zeros(0, int)], [np.zeros(0, int)]
+        live = np.arange(len(fp))
+        for d in range(1, int(np.diff(bounds).max(initial=0))):
+            live = live[live + d < len(fp)]
+            live = live[run[live] == run[live + d]]
+            for lo in range(0, len(live), 1 << 15):
+                i = live[lo : lo + (1 << 15)]
+                j = i + d
+                ok = ~cross[i] | (own[i] != own[j])
+                ok &= np.minimum(size[i], size[j]) * least.denominator >= np.maximum(size[i], size[j]) * least.numerator
+                i, j = i[ok], j[ok]
+                ok = np.abs(table_[i] - table_[j]).max(axis=2).sum(axis=1) <= REACH
+                i, j = i[ok], j[ok]
+                ok = np.bitwise_count(fp[i] ^ fp[j]) <= REACH
+                found_i.append(i[ok])
+                found_j.append(j[ok])
+        i, j = np.concatenate(found_i), np.concatenate(found_j)
+        row, node = np.unique(x[5], return_inverse=True)
+        at = spanning(len(row), node[i], node[j], np.bitwise_count(fp[i] ^ fp[j]))
+        a, b = x[5][i[at]], x[5][j[at]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        x = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
+        if left is not None:
+            x = [np.concatenate(p) for p in zip(left, x)]
+        cut = runs(x[:4])[-2]
+        left = [c[cut:] for c in x]
+        if cut:
+            yield work([c[:cut] for c in x])
+    if left is not None and len(left[0]):
+        yield work(left)
+
+
+def wide_pairs(nodes: DataFrame, least: Fraction) -> tuple[DataFrame, list[str]]:
+    """nodes (row, fp, size) -> (a, b), rows to verify, and the paths that the caller removes.
+
+    Two rows can be a pair if the smaller size is `least` of the larger or more. Rows of one fingerprint are paired with their smallest row, which
+    stands for them in the lists. Of the pairs in a block's lists those stay that span them, the nearest first: all rows 6 or fewer
+    bits apart hang together, and most of up to REACH do.
+    """
+    classes, path = written(nodes.groupBy("fp").agg(F.min(F.struct("row", "size")).alias("x")).select("fp", "x.row", "x.size"), "fingerprints")
+    same = nodes.select("fp", F.col("row").alias("b")).join(classes.select("fp", F.col("row").alias("a")), "fp").where("a <> b").select("a", "b")
+    order = ["pair", "at", "lo", "hi"]
+    blocks = in_block_pairs(wide_lists(classes), ["pair", "at"], "row", WIDE_BLOCK).select(*order, "own", "row", "fp", "total")
+    near = blocks.repartition(*order).sortWithinPartitions(*order).mapInArrow(lambda it: near_in_blocks(it, least), "a long, b long")
+    return same.unionByName(near), [path]
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", bits: int = 3, width: int = 3, block: int = BLOCK, keep: list[str] | None = None) -> DataFrame:
     """docs' columns (or those in keep, id_col among them) with fingerprint (16 hex digits) and component_id (long), the smallest id reachable over links of `bits` or fewer.
 
