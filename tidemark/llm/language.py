@@ -1,6 +1,6 @@
 """Language identification by prediction by partial matching (PPM) over bytes.
 
-Each language has a context tree of variable order, 5 to 0 bytes, counted from all training texts by grouped aggregation. A context is
+Each language has a context tree of variable order, 5 to 0 bytes, counted from all training texts, whose grams are shuffled once. A context is
 in the tree if it holds at least a fixed share of the language's bytes, so a frequent stretch has long contexts, which cover several
 letters of any script, a rare one short ones, and the trees have a bounded size at any size of the corpus.
 
@@ -15,12 +15,14 @@ lengths are tables: of contexts with their bytes, and of contexts; a byte that n
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,6 +72,13 @@ class Lookup:
             more = (self.places[at] != left) | (self.keys[at] != codes[left])
             left, at = left[more], (at[more] + 1) & (size - 1)
 
+    def __reduce__(self):
+        """Only the numbers are sent, by their places; the table is several times as large."""
+        full = self.keys != self.EMPTY
+        codes = np.empty(np.count_nonzero(full), np.uint64)
+        codes[self.places[full]] = self.keys[full]
+        return Lookup, (codes,)
+
     def _at(self, codes: np.ndarray) -> np.ndarray:
         return (codes * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
 
@@ -137,6 +146,13 @@ class ContextTrees:
                     to.append(np.concatenate((x, np.zeros((1, n)))).astype(np.float32))  # the last row is that of no context
                 self.seen.append(c > 0)
 
+    def __getstate__(self) -> bytes:
+        """What each executor stores of it, so packed."""
+        return zlib.compress(pickle.dumps(self.__dict__, pickle.HIGHEST_PROTOCOL), 1)
+
+    def __setstate__(self, state: bytes) -> None:
+        self.__dict__ = pickle.loads(zlib.decompress(state))
+
     def lengths(self, codes: np.ndarray) -> np.ndarray:
         """Code length in bits of each byte with what precedes it, under each language."""
         out = np.zeros((len(codes), len(self.languages)), np.float32)
@@ -193,18 +209,32 @@ def coded(texts: pa.Array) -> list[bytes]:
 
 #: Distinct grams that a task holds before it hands them on.
 HELD = 1 << 21
+#: Bytes of the contexts by which grams are dealt out: all longer contexts with such an end are in one task.
+NEAR = 3
 
 
-def count_contexts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, code, n): how often each byte follows each ORDER others in all texts of each language; null texts or languages don't count."""
+def summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers, ascending, with the sum of n of each."""
+    if not len(code):
+        return code, n
+    by = np.argsort(code, kind="stable")  # quick on runs in order, as they come
+    code = code[by]
+    cuts = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
+    return code[cuts], np.add.reduceat(n[by], cuts)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
-        def rows(lang: str) -> pa.RecordBatch:
-            code, n = held.pop(lang)
-            return pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(code), np.int64))), pa.array(code.astype(np.int64)), pa.array(n)], names=["lang", "code", "n"])
+def rows_of(number: int, code: np.ndarray, n: np.ndarray, **more: int) -> pa.RecordBatch:
+    """Rows of one language."""
+    same = {"number": pa.array(np.full(len(code), number, np.int32))} | {k: pa.array(np.full(len(code), v, np.int32)) for k, v in more.items()}
+    return pa.RecordBatch.from_pydict(same | {"code": pa.array(code.astype(np.int64)), "n": pa.array(n)})
 
+
+def count_contexts(docs: DataFrame, languages: list[str]) -> DataFrame:
+    """(number, code, n): how often each byte follows each ORDER others in the texts of each language, by its place in languages. What several tasks have found is not yet added up."""
+    numbers = {k: i for i, k in enumerate(languages)}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             for part in sliced(batch, 0, TOGETHER):
                 langs = part.column(1).to_numpy(zero_copy_only=False)
@@ -215,40 +245,78 @@ def count_contexts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "
                     own[(ends[:, None] + np.arange(ORDER)).ravel()] = False
                     code, n = np.unique(grams(data)[own[ORDER:]], return_counts=True)
                     if lang in held:
-                        code, at = np.unique(np.concatenate((held[lang][0], code)), return_inverse=True)
-                        n = np.bincount(at, weights=np.concatenate((held[lang][1], n))).astype(np.int64)
-                    held[lang] = code, n.astype(np.int64)
+                        code, n = summed(*map(np.concatenate, zip(held[lang], (code, n))))
+                    held[lang] = code, n
                     if len(code) > HELD:
-                        yield rows(lang)
+                        yield rows_of(numbers[lang], *held.pop(lang))
         for lang in list(held):
-            yield rows(lang)
+            yield rows_of(numbers[lang], *held.pop(lang))
 
-    rows = docs.select(q(text_col).alias("text"), q(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    return rows.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    return docs.select("text", "lang").mapInArrow(count, "number int, code long, n long")
+
+
+def grown(rows: DataFrame, least: list[float]) -> DataFrame:
+    """(number, order, code, n) from rows of count_contexts: of orders from NEAR on, the contexts of `least` bytes or more with all their bytes; one order below, sums yet to be added up.
+
+    Rows are shuffled once, by the last NEAR bytes of their contexts; a task holds the distinct ones that it gets.
+    """
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def merge(parts: list[pa.RecordBatch]) -> None:
+            number, code, n = (np.concatenate([p.column(k).to_numpy() for p in parts]) for k in range(3))
+            for k in np.unique(number).tolist():
+                own = code[number == k].astype(np.uint64), n[number == k]
+                held[k] = summed(*(map(np.concatenate, zip(held[k], own)) if k in held else own))
+
+        parts, size = [], 0
+        for batch in batches:
+            parts.append(batch)
+            size += batch.num_rows
+            if size > HELD:
+                merge(parts)
+                parts, size = [], 0
+        if parts:
+            merge(parts)
+        for k in list(held):
+            code, n = held.pop(k)
+            for order in range(ORDER, NEAR - 1, -1):
+                code, n = summed(lowest(code, order + 1), n)
+                context = code >> np.uint64(8)
+                cuts = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
+                kept = np.repeat(np.add.reduceat(n, cuts) >= least[k], np.diff(cuts, append=len(code)))
+                yield rows_of(k, code[kept], n[kept], order=order)
+            yield rows_of(k, *summed(lowest(code, NEAR), n), order=NEAR - 1)
+
+    near = F.shiftright("code", 8).bitwiseAND(F.lit((1 << 8 * NEAR) - 1))
+    return rows.repartition("number", near).mapInArrow(grow, "number int, order int, code long, n long")
 
 
 def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", min_share: float = MIN_SHARE) -> ContextTrees:
-    """Trees from all of docs. The driver gets the bytes of the contexts that are in the trees: 1 / min_share contexts an order at most, whatever the input.
+    """Trees from all of docs, which are read twice. The driver gets the bytes of the contexts that are in the trees: 1 / min_share contexts an order at most, whatever the input.
 
     Null texts and languages don't count, nor do empty texts. Repeated rows count each. A language whose name has any case or space is its own.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    full, path = written(count_contexts(docs, text_col=text_col, lang_col=lang_col), "contexts")
-    sizes = {r.lang: r.n for r in full.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # one row a language
+    docs = docs.select(q(text_col).alias("text"), q(lang_col).cast("string").alias("lang")).where("octet_length(text) > 0 and lang is not null")
+    sizes = {r.lang: r.n for r in docs.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()}  # one row a language
     languages = sorted(sizes)
     if not languages:
-        remove(spark, path)
         return ContextTrees([], [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))] * (ORDER + 1))
-    least = spark.createDataFrame([(k, i, min_share * len(languages) * sizes[k]) for i, k in enumerate(languages)], "lang string, number int, least double")
-    marked = full.join(F.broadcast(least), "lang")  # one row a language
+    least = [min_share * len(languages) * sizes[k] for k in languages]
+    full, path = written(grown(count_contexts(docs, languages), least), "contexts")
+    enough = F.broadcast(spark.createDataFrame(list(enumerate(least)), "number int, least double"))  # one row a language
     counts = []
     for order in range(ORDER + 1):
-        rows = marked.groupBy("number", "least", F.col("code").bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1)).alias("gram")).agg(F.sum("n").alias("n"))
-        context = F.shiftright("gram", 8).alias("context")
-        kept = rows.groupBy("number", "least", context).agg(F.sum("n").alias("all")).where(F.col("all") >= F.col("least")).select("number", "context")
-        got = rows.select("number", "gram", "n", context).join(kept, ["number", "context"]).select("number", "gram", "n").toArrow()
-        counts.append(tuple(got[c].to_numpy() for c in ("number", "gram", "n")))
+        rows = full.where(F.col("order") == max(order, NEAR - 1)).select("number", "code", "n")
+        if order < NEAR:
+            rows = rows.groupBy("number", F.col("code").bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1)).alias("code")).agg(F.sum("n").alias("n"))
+            rows = rows.withColumn("all", F.sum("n").over(Window.partitionBy("number", F.shiftright("code", 8))))
+            rows = rows.join(enough, "number").where("all >= least").select("number", "code", "n")
+        got = rows.toArrow()
+        counts.append(tuple(got[c].to_numpy() for c in ("number", "code", "n")))
     remove(spark, path)
     return ContextTrees(languages, counts)
 
